@@ -30,6 +30,10 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     the same when a task is run again), and the few matching right rows are
     repeated for each salt.
     """
+    for k in keys:
+        kinds = left.schema[k].dataType, right.schema[k].dataType
+        if kinds[0] != kinds[1]:
+            raise ValueError(f"key {k!r} is {kinds[0]} on one side and {kinds[1]} on the other")
     if fits_broadcast(right):
         left_on, right_on = left, F.broadcast(_renamed(right, keys))
         cond = _same(left_on, right_on, keys)

@@ -179,21 +179,21 @@ def initialise_tokens(
     vocab: DataFrame,
     tokens: list[str],
     reference_id: int,
-    old_size: int,
+    old_vocab_size: int,
     overwrite_existing: bool = False,
     id_col: str = "id",
     vector_col: str = "vector",
 ) -> DataFrame:
     """Copies the reference row's vector into the listed tokens' rows.
 
-    Rows below ``old_size`` belong to tokens that were there before and are left
-    alone unless ``overwrite_existing``. Run it again on a second table whose
+    Rows below ``old_vocab_size`` belong to tokens that were there before and are
+    left alone unless ``overwrite_existing``. Run it again on a second table whose
     weights are not shared.
     """
     need_columns(matrix, [id_col, vector_col], "embedding table")
     known = lookup_tokens(vocab, tokens).where("in_vocab")
     if not overwrite_existing:
-        known = known.where(F.col("token_id") >= old_size)
+        known = known.where(F.col("token_id") >= old_vocab_size)
     # at most one row for each listed token
     targets = known.select(F.col("token_id").alias(id_col), F.lit(True).alias("__listed")).distinct()
     reference = matrix.where(F.col(id_col) == reference_id).select(vector_col).scalar()
