@@ -104,14 +104,18 @@ def read_json_lines(
         schema = T.StructType([f for f in inferred if f.name != bad])
     if not schema.fields:
         raise ValueError(f"{path!r} holds no JSON objects")
-    lines = spark.read.text(path).select(py_trim(F.col("value")).alias("line")).where("line != ''")
-    return parsed_lines(lines, schema, bad)
+    return parsed_lines(spark.read.text(path), schema, bad)
 
 
-def parsed_lines(lines: DataFrame, schema: T.StructType, bad: str = "__unparsed") -> DataFrame:
+def parsed_lines(texts: DataFrame, schema: T.StructType, bad: str = "__unparsed") -> DataFrame:
+    """Rows from a table of lines; also for a stream, which has to name its schema."""
+    lines = texts.select(py_trim(F.col("value")).alias("line")).where("line != ''")
     with_bad = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
     parsed = F.from_json("line", with_bad, {"columnNameOfCorruptRecord": bad})
-    fine = F.startswith("line", F.lit("{")) & F.col("row")[bad].isNull()
+    # a filter on the columns may be run together with the one on blank lines, so those must not fail
+    fine = (F.col("line") == "") | (
+        F.startswith("line", F.lit("{")) & F.col("row")[bad].isNull()
+    )
     message = F.concat(F.lit("not a JSON object: "), F.substring("line", 1, 200))
     return (
         lines.withColumn("row", parsed)

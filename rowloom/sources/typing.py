@@ -52,7 +52,9 @@ def decided_types(df: DataFrame) -> dict[str, T.DataType]:
         checks += [
             F.count(c).alias(f"n{i}"),
             F.bool_and(c.rlike(INTEGER_TEXT)).alias(f"whole{i}"),
-            F.bool_and(c.rlike(INTEGER_TEXT) & c.try_cast("bigint").isNotNull()).alias(f"fits{i}"),
+            F.bool_and(
+                F.when(c.isNotNull(), c.rlike(INTEGER_TEXT) & c.try_cast("bigint").isNotNull())
+            ).alias(f"fits{i}"),
             F.bool_and(c.rlike(NUMBER_TEXT)).alias(f"number{i}"),
             F.bool_and(c.isin(TRUE_WORDS + FALSE_WORDS)).alias(f"truth{i}"),
         ]

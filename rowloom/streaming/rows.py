@@ -8,11 +8,10 @@ as they are. Exact splits and samples need the whole input and stay batch work.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from rowloom.functions.text import py_trim, quoted
+from rowloom.functions.text import quoted
 from rowloom.session import shared_dir
 from rowloom.sources.files import parsed_lines
 from rowloom.sources.typing import cast_columns, missing_to_null
@@ -30,8 +29,7 @@ def stream_table(
         table = reader.csv(path).select(*(missing_to_null(quoted(n)).alias(n) for n in texts.names))
         return cast_columns(table, {f.name: f.dataType for f in schema})
     if fmt == "jsonl":
-        lines = spark.readStream.text(path).select(py_trim(F.col("value")).alias("line"))
-        return parsed_lines(lines.where("line != ''"), schema)
+        return parsed_lines(spark.readStream.text(path), schema)
     if fmt == "parquet":
         return spark.readStream.schema(schema).parquet(path)
     raise ValueError(f"cannot stream format {fmt!r}")
