@@ -500,9 +500,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def labelled_prompts(spark: SparkSession, folder: str) -> DataFrame:
     """The flagship: an exact class-balanced split of the labelled documents with a prompt for each."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    rows = docs.join(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id")
-    parts = split_by_ratio(with_label(rows, "quality"), "label", 0.8, 42, ["doc_id"])
-    content = template_text(parts, "Source: {source} ({lang})\n{text}")
+    labels = with_label(table(spark, folder, "labels").select("doc_id", "quality"), "quality")
+    # the split reads its input more than once, so it comes before the join with the texts
+    parts = split_by_ratio(labels, "label", 0.8, 42, ["doc_id"])
+    rows = table(spark, folder, "documents").select("doc_id", "text", "lang", "source").join(parts, "doc_id")
+    content = template_text(rows, "Source: {source} ({lang})\n{text}")
     prompt = prompt_text(chat_messages(JUDGE, content), CHAT_FORMAT)
-    return parts.select("doc_id", "label", "split", prompt.alias("prompt"))
+    return rows.select("doc_id", "label", "split", prompt.alias("prompt"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import types as T
 
 from rowloom.functions.text import lower_trim, py_str, py_trim, quoted, safe_str
 
+logger = logging.getLogger(__name__)
+
 # The words read as yes and as no when the caller names none.
 POSITIVE_LABELS = "是,true,1,yes,y,t"
 NEGATIVE_LABELS = "否,false,0,no,n,f"
@@ -71,5 +74,7 @@ def binary_label(
 def label_text(df: DataFrame, name: str | None) -> Column:
     """The label as trimmed text, null when empty; null throughout when there is no such column."""
     if not name or name not in df.columns:
+        if name:
+            logger.warning("no label column %r; the table has %s", name, df.columns)
         return F.lit(None).cast("string")
     return F.nullif(py_trim(safe_str(df, name)), F.lit(""))

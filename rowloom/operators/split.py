@@ -31,7 +31,9 @@ from rowloom.operators.joins import HOT_SHARE
 from rowloom.operators.labels import UnknownLabelsError
 
 FIRST_DIGITS = 3  # 4,096 buckets per class in the first histogram
-NEXT_DIGITS = 8  # 1,048,576 buckets inside one bucket of the first
+GUESSED_DIGITS = 6  # resolution of the first histogram where a cut is expected
+GUESSED_BUCKETS = 8  # how far from the expected place, in buckets
+NEXT_DIGITS = 8  # up to 1,048,576 buckets inside one bucket of the first
 ALL_DIGITS = 32
 EXACT_ROWS = 1_000_000  # a bucket up to this size is resolved digest by digest
 COPIES_PER_TASK_ROW = 100_000
@@ -90,21 +92,38 @@ class _Cut:
         return self.prefix + "g"
 
 
-def _histogram(rows: DataFrame, digits: int) -> DataFrame:
-    return rows.groupBy("cls", F.substring("digest", 1, digits).alias("prefix")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+def _histogram(rows: DataFrame, prefix: Column) -> DataFrame:
+    return rows.groupBy("cls", prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _first_prefix(guesses: list[float]) -> Column:
+    """Three digits of the digest, more of them around the places where cuts are expected.
+
+    Digests are spread evenly, so a cut that gives a share of each class to a part
+    lies close to that share of the digest range.
+    """
+    digest = F.col("digest")
+    prefix = F.substring(digest, 1, FIRST_DIGITS)
+    buckets = 16**FIRST_DIGITS
+    for share in guesses:
+        low = max(int(share * buckets) - GUESSED_BUCKETS, 0)
+        high = min(int(share * buckets) + GUESSED_BUCKETS, buckets - 1)
+        near = (digest >= f"{low:0{FIRST_DIGITS}x}") & (digest < f"{high:0{FIRST_DIGITS}x}g")
+        prefix = F.when(near, F.substring(digest, 1, GUESSED_DIGITS)).otherwise(prefix)
+    return prefix
 
 
 def _first_pass(
-    rows: DataFrame, cut_ranks: list[Callable[[Column, Column], Column]]
+    rows: DataFrame,
+    cut_ranks: list[Callable[[Column, Column], Column]],
+    guesses: list[float],
 ) -> tuple[dict, list[_Cut]]:
     """Class totals and, for each class and cut, the first-level bucket the cut falls into."""
     by_class = Window.partitionBy("cls")
     running = by_class.orderBy("prefix").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    hist = _histogram(rows, FIRST_DIGITS).select(
+    hist = _histogram(rows, _first_prefix(guesses)).select(
         "cls",
         "prefix",
         "n",
@@ -153,7 +172,7 @@ def _narrow(rows: DataFrame, cuts: list[_Cut], digits: int) -> list[_Cut]:
         ),
     )
     length = len(cuts[0].prefix)
-    hist = _histogram(rows.where(inside), digits).withColumn(
+    hist = _histogram(rows.where(inside), F.substring("digest", 1, digits)).withColumn(
         "parent", F.substring("prefix", 1, length)
     )
     running = (
@@ -180,13 +199,13 @@ def _settle(rows: DataFrame, cuts: list[_Cut]) -> list[_Cut]:
     while todo:
         done += [c for c in todo if c.settled or len(c.prefix) == ALL_DIGITS]
         todo = [c for c in todo if not c.settled and len(c.prefix) < ALL_DIGITS]
-        small = [c for c in todo if c.n <= EXACT_ROWS or len(c.prefix) >= NEXT_DIGITS]
-        large = [c for c in todo if c not in small]
+        steps: dict[tuple[int, int], list[_Cut]] = {}
+        for c in todo:
+            far = c.n > EXACT_ROWS and len(c.prefix) < NEXT_DIGITS
+            steps.setdefault((len(c.prefix), NEXT_DIGITS if far else ALL_DIGITS), []).append(c)
         todo = []
-        for length in sorted({len(c.prefix) for c in small}):
-            todo += _narrow(rows, [c for c in small if len(c.prefix) == length], ALL_DIGITS)
-        if large:
-            todo += _narrow(rows, large, NEXT_DIGITS)
+        for (_, digits), group in steps.items():
+            todo += _narrow(rows, group, digits)
     return done
 
 
@@ -196,6 +215,7 @@ def _settle(rows: DataFrame, cuts: list[_Cut]) -> list[_Cut]:
 class _Part:
     name: str
     upto: Callable[[Column, Column], Column]  # (class, class total) -> last row number
+    share: float | None = None  # about which share of each class that is, where known
 
 
 def _allot(
@@ -211,7 +231,8 @@ def _allot(
     """Rows with their part's name in ``out``; rows past the last part get ``rest`` or are left out."""
     digest = row_digest(df, seed, key)
     rows = df.select(cls.alias("cls"), digest.alias("digest"))
-    totals, firsts = _first_pass(rows, [p.upto for p in parts])
+    guesses = [p.share for p in parts if p.share is not None]
+    totals, firsts = _first_pass(rows, [p.upto for p in parts], guesses)
     check(totals)
     cuts = _settle(rows, firsts)
 
@@ -269,16 +290,32 @@ def _cuts_among_equal_keys(
     df: DataFrame, cls: Column, digest: Column, tied: list[_Cut]
 ) -> dict[tuple, _Cut]:
     """Cuts that run through rows of one key, placed by a digest of the whole row."""
-    found: dict[tuple, _Cut] = {}
-    for c in tied:
-        rows = df.where(cls.eqNullSafe(F.lit(c.cls)) & (digest == c.prefix)).select(
-            F.lit(True).alias("cls"), F.md5(row_text(df)).alias("digest")
-        )
-        rank = c.rank - c.start
-        _, firsts = _first_pass(rows, [lambda _c, _t, rank=rank: F.lit(rank)])
-        (place,) = _settle(rows, firsts)
-        found[c.cls, c.no] = replace(place, cls=c.cls, no=c.no)
-    return found
+    groups = list(dict.fromkeys((c.cls, c.prefix) for c in tied))
+    group_no = {g: i for i, g in enumerate(groups)}
+    number = F.lit(None).cast("int")
+    for (value, prefix), i in group_no.items():
+        same = cls.eqNullSafe(F.lit(value)) & (digest == prefix)
+        number = F.when(same, F.lit(i)).otherwise(number)
+    rows = (
+        df.where(number.isNotNull())
+        .select(number.alias("cls"), F.md5(row_text(df)).alias("digest"))
+    )
+
+    def rank_of(no: int) -> Callable[[Column, Column], Column]:
+        rank = F.lit(0)
+        for c in tied:
+            if c.no == no:
+                is_group = F.col("cls") == group_no[c.cls, c.prefix]
+                rank = F.when(is_group, F.lit(c.rank - c.start)).otherwise(rank)
+        return lambda _cls, _total: rank
+
+    numbers = sorted({c.no for c in tied})
+    guesses = [(c.rank - c.start) / c.n for c in tied]
+    _, firsts = _first_pass(rows, [rank_of(no) for no in numbers], guesses)
+    return {
+        (groups[c.cls][0], numbers[c.no]): replace(c, cls=groups[c.cls][0], no=numbers[c.no])
+        for c in _settle(rows, firsts)
+    }
 
 
 def _shares(
@@ -300,9 +337,8 @@ def _written_out(
     df: DataFrame, which: Column, shares: list[tuple[str, int]], out: str
 ) -> DataFrame:
     """A group of copies, written from one of its rows: ``count`` times for each share."""
-    one = df.where(which).groupBy(F.lit(1).alias("__g")).agg(
-        F.any_value(F.struct(*(quoted(n) for n in df.columns))).alias("__row")
-    )
+    # all rows of the group are the same, so each task needs to offer no more than one of them
+    one = df.where(which).limit(1).select(F.struct(*(quoted(n) for n in df.columns)).alias("__row"))
     each = F.array(
         *(F.struct(F.lit(name).alias("part"), F.lit(n).cast("bigint").alias("n")) for name, n in shares)
     )
@@ -358,7 +394,7 @@ def split_by_ratio(
         if short:
             raise ValueError(f"a split by ratio needs two rows of each class, not {short}")
 
-    parts = [_Part("train", train_rows)]
+    parts = [_Part("train", train_rows, train_ratio)]
     return _allot(df, quoted(label), parts, "test", seed, key, out, check)
 
 

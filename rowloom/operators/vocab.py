@@ -10,6 +10,7 @@ from rowloom.functions.content import need_columns
 from rowloom.operators.joins import lookup_join
 
 NUMBERED_AT_ONCE = 1_000_000
+LISTED_IN_FILTER = 1_000  # a token list up to this length becomes a filter the scan can use
 
 
 def token_rows(spark: SparkSession, tokens: list[str]) -> DataFrame:
@@ -63,7 +64,10 @@ def lookup_tokens(
     asked = _as_rows(vocab, tokens)
     known = vocab.select("token", "id")
     if isinstance(tokens, list):
-        known = known.join(F.broadcast(asked.select("token")), "token", "left_semi")
+        if len(tokens) <= LISTED_IN_FILTER:
+            known = known.where(F.col("token").isin(tokens))
+        else:
+            known = known.join(F.broadcast(asked.select("token")), "token", "left_semi")
     known = known.groupBy("token").agg(F.min("id").alias("token_id"))
     if isinstance(tokens, list):
         # at most one row for each listed token is left here
@@ -97,21 +101,36 @@ def _numbered(rows: DataFrame, order: str) -> DataFrame:
     )
 
 
+def _ids_of(vocab: DataFrame, tokens: list[str]) -> dict[str, int]:
+    """Ids of the listed tokens that the vocabulary has; no larger than the caller's own list."""
+    known = lookup_tokens(vocab, tokens).where("in_vocab").collect()
+    return {r["token"]: r["token_id"] for r in known}
+
+
 def append_tokens(vocab: DataFrame, tokens: list[str] | DataFrame) -> DataFrame:
-    """The vocabulary with unseen tokens added under the next ids, in list (``pos``) order."""
+    """The vocabulary with unseen tokens added under the next ids, in list (``pos``) order.
+
+    A list's new tokens are numbered where the list is, on the driver. A table's
+    are numbered by many tasks.
+    """
     need_columns(vocab, ["token", "id"], "vocabulary")
-    asked = _as_rows(vocab, tokens)
-    need_columns(asked, ["token", "pos"], "token table")
+    old, schema = vocab.select("token", "id"), vocab.select("token", "id").schema
     if isinstance(tokens, list):
-        seen = vocab.select("token").join(F.broadcast(asked), "token", "left_semi").distinct()
-        fresh = asked.join(F.broadcast(seen), "token", "left_anti")
-    else:
-        fresh = lookup_join(ordered_union(asked), vocab.select("token").distinct(), ["token"], "left_anti")
-    id_type = vocab.schema["id"].dataType
+        known = _ids_of(vocab, tokens)
+        fresh = [t for t in dict.fromkeys(tokens) if t not in known]
+        if not fresh:
+            return old
+        top = old.agg(F.max("id")).first()[0]
+        start = 0 if top is None else top + 1
+        rows = [(t, start + i) for i, t in enumerate(fresh)]
+        return old.unionByName(vocab.sparkSession.createDataFrame(rows, schema))
+    need_columns(tokens, ["token", "pos"], "token table")
+    known = vocab.select("token").distinct()
+    fresh = lookup_join(ordered_union(tokens), known, ["token"], "left_anti")
     numbered = _numbered(fresh, "pos").select(
-        "token", (F.col("nth") + _size(vocab, "id")).cast(id_type).alias("id")
+        "token", (F.col("nth") + _size(vocab, "id")).cast(schema["id"].dataType).alias("id")
     )
-    return vocab.select("token", "id").unionByName(numbered)
+    return old.unionByName(numbered)
 
 
 def alignment_report(
@@ -191,13 +210,14 @@ def initialise_tokens(
     weights are not shared.
     """
     need_columns(matrix, [id_col, vector_col], "embedding table")
-    known = lookup_tokens(vocab, tokens).where("in_vocab")
+    ids = sorted(set(_ids_of(vocab, tokens).values()))
     if not overwrite_existing:
-        known = known.where(F.col("token_id") >= old_vocab_size)
-    # at most one row for each listed token
-    targets = known.select(F.col("token_id").alias(id_col), F.lit(True).alias("__listed")).distinct()
+        ids = [i for i in ids if i >= old_vocab_size]
+    if not ids:
+        return matrix.select(id_col, vector_col)
     reference = matrix.where(F.col(id_col) == reference_id).select(vector_col).scalar()
     copied = F.coalesce(reference, F.raise_error(F.lit(f"no embedding row {reference_id}")))
-    return matrix.join(F.broadcast(targets), id_col, "left").select(
-        id_col, F.when(F.col("__listed"), copied).otherwise(F.col(vector_col)).alias(vector_col)
+    return matrix.select(
+        id_col,
+        F.when(F.col(id_col).isin(ids), copied).otherwise(F.col(vector_col)).alias(vector_col),
     )

@@ -22,7 +22,9 @@ def mapped(df):
     return {r[0]: tuple(r[1:]) for r in df.collect()}
 
 
-def test_lookup(spark, vocab):
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_lookup(spark, vocab, monkeypatch, limit):
+    monkeypatch.setattr(vocab_module, "LISTED_IN_FILTER", limit)
     want = {"b": (1, True), "+": (None, False), "": (None, False)}
     assert mapped(lookup_tokens(vocab, ["b", "+", "b", ""])) == want
     asked = spark.createDataFrame([("b", [1]), ("+", [7, 8])], "token string, encoded array<int>")
