@@ -22,22 +22,21 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session, where driver and executors are one machine, may fall
     back to a new temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="rowloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="rowloom-"))
+    return context.getCheckpointDir()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, so later passes all see the same rows."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    context, folder = df.sparkSession.sparkContext, shared_dir(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
