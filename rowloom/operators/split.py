@@ -238,8 +238,12 @@ def _allot(
 
     tied = [c for c in cuts if not c.settled]
     inner: dict[tuple, _Cut] = {}
+    copies = {(c.cls, c.prefix) for c in tied}
     if tied and key is not None:
-        inner = _cuts_among_equal_keys(df, cls, digest, tied)
+        copies = _groups_of_copies(df, cls, digest, tied)
+        mixed = [c for c in tied if (c.cls, c.prefix) not in copies]
+        if mixed:
+            inner = _cuts_among_equal_keys(df, cls, digest, mixed)
 
     whole = F.md5(row_text(df))
     before: dict[tuple, Column] = {}
@@ -247,7 +251,7 @@ def _allot(
     for c in cuts:
         if c.settled:
             before[c.cls, c.no] = digest < c.bound
-        elif key is None:
+        elif (c.cls, c.prefix) in copies:
             before[c.cls, c.no] = digest < c.prefix
             groups[c.cls, c.prefix, None] = (c.start, c.n)
         else:
@@ -286,16 +290,52 @@ def _allot(
     return body
 
 
+def _group_number(cls: Column, digest: Column, groups: list[tuple]) -> Column:
+    """Which of a few (class, digest) groups a row is in; null for all other rows."""
+    number = F.lit(None).cast("int")
+    for i, (value, prefix) in enumerate(groups):
+        same = cls.eqNullSafe(F.lit(value)) & (digest == prefix)
+        number = F.when(same, F.lit(i)).otherwise(number)
+    return number
+
+
+def _fingerprint(df: DataFrame, salt: int) -> Column:
+    """A 64-bit hash of the whole row, nulls and their places included."""
+    parts = [F.lit(salt)]
+    for f in df.schema:
+        c = quoted(f.name)
+        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            c = F.to_json(c, _JSON)
+        elif isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            c = c.cast("string")
+        parts += [c.isNull(), c]
+    return F.xxhash64(*parts)
+
+
+def _groups_of_copies(df: DataFrame, cls: Column, digest: Column, tied: list[_Cut]) -> set[tuple]:
+    """Those of the cuts' groups whose rows are all the same, told by two hashes of the row."""
+    groups = list(dict.fromkeys((c.cls, c.prefix) for c in tied))
+    number = _group_number(cls, digest, groups)
+    spread = []
+    for salt in (1, 2):
+        h = _fingerprint(df, salt)
+        spread.append(F.min(h) == F.max(h))
+    found = (
+        df.where(number.isNotNull())
+        .groupBy(number.alias("group"))
+        .agg((spread[0] & spread[1]).alias("same"))
+        .collect()
+    )
+    return {groups[r["group"]] for r in found if r["same"]}
+
+
 def _cuts_among_equal_keys(
     df: DataFrame, cls: Column, digest: Column, tied: list[_Cut]
 ) -> dict[tuple, _Cut]:
-    """Cuts that run through rows of one key, placed by a digest of the whole row."""
+    """Cuts that run through different rows of one key, placed by a digest of the whole row."""
     groups = list(dict.fromkeys((c.cls, c.prefix) for c in tied))
     group_no = {g: i for i, g in enumerate(groups)}
-    number = F.lit(None).cast("int")
-    for (value, prefix), i in group_no.items():
-        same = cls.eqNullSafe(F.lit(value)) & (digest == prefix)
-        number = F.when(same, F.lit(i)).otherwise(number)
+    number = _group_number(cls, digest, groups)
     rows = (
         df.where(number.isNotNull())
         .select(number.alias("cls"), F.md5(row_text(df)).alias("digest"))

@@ -103,6 +103,16 @@ def test_count_split(spark):
         assert mark == {i: "test" if at < test else "train" for at, i in enumerate(mine[: test + train])}
 
 
+def test_rows_that_only_swap_a_null_are_no_copies(spark):
+    df = spark.range(40).select(
+        F.lit(1).alias("k"), F.when(F.col("id") < 20, "a").alias("x"), F.when(F.col("id") >= 20, "a").alias("y"),
+        F.when(F.col("id") < 20, F.array(F.lit(None), F.lit(1))).otherwise(F.array(F.lit(1), F.lit(None))).alias("z"),
+    )
+    got = sample_rows(df, 30, key=["k"])
+    counts = sorted(rows(got.select("x", "y", F.to_json("z"))).values())
+    assert counts == [10, 20] and got.exceptAll(df).count() == 0
+
+
 def test_both_cuts_inside_one_group_of_copies(spark):
     df = spark.range(600).select(F.lit(1).alias("v"), (F.col("id") < 300).alias("label"))
     got = split_by_count(df, "label", 100, 7, 50, 3)
