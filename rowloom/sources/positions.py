@@ -15,9 +15,12 @@ from rowloom.functions.content import need_columns
 from rowloom.functions.text import quoted
 from rowloom.operators.split import row_text
 from rowloom.session import checkpointed
+from rowloom.sources.files import load_table, resolve_format
+from rowloom.sources.workbook import read_workbooks
 
 # Up to this position a top-k per task is the cheapest way.
 TOP_K = 10_000
+_ROW_NO = "__row_no"
 _IN_PARTITION = (1 << 33) - 1  # monotonically_increasing_id counts rows below this bit
 
 
@@ -108,3 +111,18 @@ def json_line_at(spark: SparkSession, path: str, index: int) -> dict:
     if not isinstance(row, dict):
         raise ValueError(f"line {index} of {path!r} is not a JSON object")
     return row
+
+
+def load_row(
+    spark: SparkSession, path: str, index: int, fmt: str = "auto", sheet: str | int | None = None
+) -> dict:
+    """The one row at ``index`` of a file, as a dict: its names and values in column order."""
+    kind = resolve_format(path, fmt)
+    if kind == "jsonl":
+        return json_line_at(spark, path, index)
+    if kind == "xlsx":
+        rows = read_workbooks(spark, path, sheet, row_no=_ROW_NO)
+        found = row_at(rows, index, [_ROW_NO]).drop(_ROW_NO)
+    else:
+        found = file_row_at(load_table(spark, path, kind), index)
+    return found.first().asDict(recursive=True)

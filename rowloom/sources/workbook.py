@@ -127,11 +127,13 @@ def read_workbooks(
     path: str,
     sheet: str | int | None = None,
     schema: T.StructType | None = None,
+    row_no: str | None = None,
 ) -> DataFrame:
     """The chosen sheet of each workbook under ``path`` as one table, columns matched by name.
 
     Without a schema the first workbook names the columns and one pass decides
     their types: numbers and truth values as stored, everything else text.
+    ``row_no`` names an extra column for the row's number in its sheet.
     """
     unpack = _unpacker(resolve_sheet(sheet))
 
@@ -148,13 +150,16 @@ def read_workbooks(
     else:
         names = schema.names
     cells = rows_of(path).where("cells is not null").select(
-        *(F.try_element_at("cells", F.lit(n)).alias(n) for n in names)
+        *(F.try_element_at("cells", F.lit(n)).alias(n) for n in names),
+        *([] if row_no is None else [F.col("row_no").alias(row_no)]),
     )
     texts = cells.select(
-        *(missing_to_null(F.col(f"`{n}`.text")).alias(n) for n in names)
+        *(missing_to_null(F.col(f"`{n}`.text")).alias(n) for n in names),
+        *([] if row_no is None else [F.col(row_no)]),
     )
+    numbered = {} if row_no is None else {row_no: T.LongType()}
     if schema is not None:
-        return cast_columns(texts, {f.name: f.dataType for f in schema})
+        return cast_columns(texts, {f.name: f.dataType for f in schema} | numbered)
     kinds = cells.agg(
         *(
             F.bool_or((F.col(f"`{n}`.kind") == "text") & missing_to_null(F.col(f"`{n}`.text")).isNotNull()).alias(f"t{i}")
@@ -163,4 +168,4 @@ def read_workbooks(
     ).first()
     numeric = [n for i, n in enumerate(names) if not kinds[f"t{i}"]]
     types = decided_types(texts.select(*(F.col(f"`{n}`") for n in numeric))) if numeric else {}
-    return cast_columns(texts, {n: types.get(n, T.StringType()) for n in names})
+    return cast_columns(texts, {n: types.get(n, T.StringType()) for n in names} | numbered)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.chat import (
     PromptFormat, allowed_ids, best_allowed, chat_messages, checked_messages, extract_label,
-    first_candidate, message_faults, parse_toggle, prompt_text,
+    parse_toggle, prompt_text,
 )
 from rowloom.functions.content import key_value_text, template_text, user_text
 from rowloom.operators import conversations

@@ -1,9 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tests.test_sources import workbook
+
 from rowloom.sources import positions
 from rowloom.sources.files import read_csv
-from rowloom.sources.positions import file_row_at, json_line_at, row_at
+from rowloom.sources.positions import file_row_at, json_line_at, load_row, row_at
 
 
 @pytest.fixture(params=[10_000, 0])
@@ -59,3 +61,18 @@ def test_file_order_over_many_pieces(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_one_row_of_a_file_of_each_kind(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('i, t\n0,"x\ny"\n1,NA\n2,"z ""q"""\n')
+    assert load_row(spark, str(tmp_path / "a.csv"), 0) == {"i": 0, "t": "x\ny"}
+    assert load_row(spark, str(tmp_path / "a.csv"), 2) == {"i": 2, "t": 'z "q"'}
+    book = workbook(tmp_path / "a.xlsx", {"S": [["i", "t"]] + [[i, f"v{i}"] for i in range(30)]})
+    assert load_row(spark, book, 17) == {"i": 17, "t": "v17"}
+    (tmp_path / "a.jsonl").write_text('{"i": 1}\n{"t": [2]}\n')
+    assert load_row(spark, str(tmp_path / "a.jsonl"), 1) == {"t": [2]}
+    spark.range(10, numPartitions=1).write.parquet(str(tmp_path / "a.parquet"))
+    assert load_row(spark, str(tmp_path / "a.parquet"), 4) == {"id": 4}
+    for name, i in (("a.csv", 3), ("a.xlsx", 30), ("a.jsonl", 2), ("a.parquet", 10), ("a.csv", -1)):
+        with pytest.raises(ValueError):
+            load_row(spark, str(tmp_path / name), i)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowloom.functions.text import (
-    preview, py_str, py_trim, remove_tokens, safe_str, str_of, text_length,
+    preview, py_trim, remove_tokens, safe_str, str_of, text_length,
 )
 
 
