@@ -46,34 +46,38 @@ def decided_types(df: DataFrame) -> dict[str, T.DataType]:
     Whole numbers, numbers, truth values, else text. A column without any value
     counts as numbers.
     """
-    checks = []
-    for i, name in enumerate(df.columns):
-        c = quoted(name)
-        checks += [
-            F.count(c).alias(f"n{i}"),
-            F.bool_and(c.rlike(INTEGER_TEXT)).alias(f"whole{i}"),
-            F.bool_and(
-                F.when(c.isNotNull(), c.rlike(INTEGER_TEXT) & c.try_cast("bigint").isNotNull())
-            ).alias(f"fits{i}"),
-            F.bool_and(c.rlike(NUMBER_TEXT)).alias(f"number{i}"),
-            F.bool_and(c.isin(TRUE_WORDS + FALSE_WORDS)).alias(f"truth{i}"),
-        ]
-    if not checks:
+    if not df.columns:
         return {}
-    seen = df.agg(*checks).first()
-    types: dict[str, T.DataType] = {}
-    for i, name in enumerate(df.columns):
-        if seen[f"n{i}"] == 0:
-            types[name] = T.DoubleType()
-        elif seen[f"fits{i}"]:
-            types[name] = T.LongType()
-        elif seen[f"number{i}"] and not seen[f"whole{i}"]:
-            types[name] = T.DoubleType()
-        elif seen[f"truth{i}"]:
-            types[name] = T.BooleanType()
-        else:
-            types[name] = T.StringType()
-    return types
+    seen = df.agg(
+        *(F.bit_or(_kind(quoted(n))).alias(f"k{i}") for i, n in enumerate(df.columns))
+    ).first()
+    return {n: _type_of_kinds(seen[f"k{i}"]) for i, n in enumerate(df.columns)}
+
+
+_FITS, _TOO_LONG, _NUMBER, _TRUTH, _TEXT = 1, 2, 4, 8, 16
+
+
+def _kind(c: Column) -> Column:
+    """What one text looks like, as a bit; null for null."""
+    whole = c.rlike(INTEGER_TEXT)
+    return (
+        F.when(c.isNull(), F.lit(None).cast("int"))
+        .when(whole & c.try_cast("bigint").isNotNull(), F.lit(_FITS))
+        .when(whole, F.lit(_TOO_LONG))
+        .when(c.rlike(NUMBER_TEXT), F.lit(_NUMBER))
+        .when(c.isin(TRUE_WORDS + FALSE_WORDS), F.lit(_TRUTH))
+        .otherwise(F.lit(_TEXT))
+    )
+
+
+def _type_of_kinds(kinds: int | None) -> T.DataType:
+    if kinds is None:
+        return T.DoubleType()
+    if kinds == _FITS:
+        return T.LongType()
+    if kinds & _NUMBER and not kinds & (_TRUTH | _TEXT):
+        return T.DoubleType()
+    return T.BooleanType() if kinds == _TRUTH else T.StringType()
 
 
 def cast_columns(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
