@@ -90,7 +90,7 @@ def read_csv(
     texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
     table = reader.option("header", True).schema(texts).csv(path)
     table = table.select(*(missing_to_null(quoted(n)).alias(n) for n in names))
-    types = decided_types(table) if schema is None else {f.name: f.dataType for f in schema}
+    types = decided_types(table, names) if schema is None else {f.name: f.dataType for f in schema}
     return cast_columns(table, types)
 
 

@@ -40,18 +40,25 @@ def missing_to_null(c: Column) -> Column:
     return F.when(~c.isin(MISSING_WORDS), c)
 
 
-def decided_types(df: DataFrame) -> dict[str, T.DataType]:
+def decided_types(
+    df: DataFrame, names: list[str], surely_text: dict[str, Column] | None = None
+) -> dict[str, T.DataType]:
     """The narrowest type that fits all values of each text column, found in one pass.
 
     Whole numbers, numbers, truth values, else text. A column without any value
-    counts as numbers.
+    counts as numbers. ``surely_text`` says for a column which values were stored
+    as text, whatever they look like.
     """
-    if not df.columns:
-        return {}
-    seen = df.agg(
-        *(F.bit_or(_kind(quoted(n))).alias(f"k{i}") for i, n in enumerate(df.columns))
-    ).first()
-    return {n: _type_of_kinds(seen[f"k{i}"]) for i, n in enumerate(df.columns)}
+    marks = surely_text or {}
+
+    def kind(name: str) -> Column:
+        looks = _kind(quoted(name))
+        if name not in marks:
+            return looks
+        return F.when(quoted(name).isNotNull() & marks[name], F.lit(_TEXT)).otherwise(looks)
+
+    seen = df.agg(*(F.bit_or(kind(n)).alias(f"k{i}") for i, n in enumerate(names))).first()
+    return {n: _type_of_kinds(seen[f"k{i}"]) for i, n in enumerate(names)}
 
 
 _FITS, _TOO_LONG, _NUMBER, _TRUTH, _TEXT = 1, 2, 4, 8, 16

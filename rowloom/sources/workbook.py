@@ -149,23 +149,18 @@ def read_workbooks(
         names = trimmed_names(head["names"])
     else:
         names = schema.names
+    extra = [] if row_no is None else [F.col("row_no").alias(row_no)]
     cells = rows_of(path).where("cells is not null").select(
-        *(F.try_element_at("cells", F.lit(n)).alias(n) for n in names),
-        *([] if row_no is None else [F.col("row_no").alias(row_no)]),
+        *(F.try_element_at("cells", F.lit(n)).alias(n) for n in names), *extra
     )
+    marks = {n: f"__stored_{i}" for i, n in enumerate(names)}
     texts = cells.select(
         *(missing_to_null(F.col(f"`{n}`.text")).alias(n) for n in names),
-        *([] if row_no is None else [F.col(row_no)]),
+        *((F.col(f"`{n}`.kind") == "text").alias(m) for n, m in marks.items()),
+        *([] if row_no is None else [row_no]),
     )
-    numbered = {} if row_no is None else {row_no: T.LongType()}
-    if schema is not None:
-        return cast_columns(texts, {f.name: f.dataType for f in schema} | numbered)
-    kinds = cells.agg(
-        *(
-            F.bool_or((F.col(f"`{n}`.kind") == "text") & missing_to_null(F.col(f"`{n}`.text")).isNotNull()).alias(f"t{i}")
-            for i, n in enumerate(names)
-        )
-    ).first()
-    numeric = [n for i, n in enumerate(names) if not kinds[f"t{i}"]]
-    types = decided_types(texts.select(*(F.col(f"`{n}`") for n in numeric))) if numeric else {}
-    return cast_columns(texts, {n: types.get(n, T.StringType()) for n in names} | numbered)
+    if schema is None:
+        types = decided_types(texts, names, {n: F.col(m) for n, m in marks.items()})
+    else:
+        types = {f.name: f.dataType for f in schema}
+    return cast_columns(texts, types | ({} if row_no is None else {row_no: T.LongType()}))
