@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from rowloom.llm.common import documents
 from rowloom.llm.quality import BASE, quality_rules
+from rowloom.llm.simhash import simhash_components
+
+
+def op2_simhash_near_dedup(spark, folder):
+    found = simhash_components(documents(spark, folder), size=3, max_bits=3)
+    printed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", printed.alias("fingerprint"), "component_id")
 
 
 def op3_quality_rules(spark, folder):
@@ -11,5 +20,8 @@ def op3_quality_rules(spark, folder):
     return rows.select("doc_id", *BASE, "base_failed", "kept", "d2")
 
 
-QUERIES = {"op3_quality_rules": op3_quality_rules}
+QUERIES = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_quality_rules": op3_quality_rules,
+}
 ORACLE: dict[str, str] = {}
