@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.common import documents
 from rowloom.llm.quality import BASE, quality_rules
+from rowloom.llm.repeats import without_repeats
 from rowloom.llm.simhash import simhash_components
 
 
@@ -20,8 +21,13 @@ def op3_quality_rules(spark, folder):
     return rows.select("doc_id", *BASE, "base_failed", "kept", "d2")
 
 
+def op9_suffix_array_dedup(spark, folder):
+    return without_repeats(documents(spark, folder).select("doc_id", "text"), length=400)
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 ORACLE: dict[str, str] = {}
