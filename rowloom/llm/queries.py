@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rowloom.llm.common import documents
 from rowloom.llm.quality import BASE, quality_rules
 from rowloom.llm.repeats import without_repeats
+from rowloom.llm.sanitise import KINDS, personal_spans, span_text
 from rowloom.llm.simhash import simhash_components
 
 
@@ -25,9 +26,21 @@ def op9_suffix_array_dedup(spark, folder):
     return without_repeats(documents(spark, folder).select("doc_id", "text"), length=400)
 
 
+def op10_pii_sanitisation(spark, folder):
+    found = personal_spans(documents(spark, folder).select("doc_id", "text"))
+    kinds = F.transform("base", lambda x: x["k"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{n}") for k, n in enumerate(KINDS[:4])
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans")
+    )
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_pii_sanitisation": op10_pii_sanitisation,
 }
 ORACLE: dict[str, str] = {}
