@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import documents
+from rowloom.llm.packing import packed
 from rowloom.llm.quality import BASE, quality_rules
 from rowloom.llm.repeats import without_repeats
 from rowloom.llm.sanitise import KINDS, personal_spans, span_text
 from rowloom.llm.simhash import simhash_components
 
+#: Where the public tokenizer files are; a parameter of the operators.
+WORDS_49K = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op2_simhash_near_dedup(spark, folder):
     found = simhash_components(documents(spark, folder), size=3, max_bits=3)
@@ -22,6 +27,10 @@ def op3_quality_rules(spark, folder):
     return rows.select("doc_id", *BASE, "base_failed", "kept", "d2")
 
 
+def op4_best_fit_packing(spark, folder):
+    return packed(documents(spark, folder), WORDS_49K, ["doc_id"], capacity=2048)
+
+
 def op9_suffix_array_dedup(spark, folder):
     return without_repeats(documents(spark, folder).select("doc_id", "text"), length=400)
 
@@ -40,6 +49,7 @@ def op10_pii_sanitisation(spark, folder):
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii_sanitisation": op10_pii_sanitisation,
 }
