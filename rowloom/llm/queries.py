@@ -10,12 +10,21 @@ from rowloom.llm.packing import packed
 from rowloom.llm.quality import BASE, quality_rules
 from rowloom.llm.repeats import without_repeats
 from rowloom.llm.sanitise import KINDS, personal_spans, span_text
+from rowloom.llm.sharding import extendible_shards
 from rowloom.llm.simhash import simhash_components
 
+#: Bytes of text in a shard at most.
+SHARD_BYTES = 1 << 20
 #: Where the public tokenizer files are; a parameter of the operators.
 WORDS_49K = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_extendible_hash_sharding(spark, folder):
+    rows = documents(spark, folder).select("doc_id", F.octet_length("text").alias("size"))
+    found = extendible_shards(rows, ["doc_id"], F.col("size"), SHARD_BYTES)
+    return found.select("doc_id", "n_bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", "shard_rows")
+
+
 def op2_simhash_near_dedup(spark, folder):
     found = simhash_components(documents(spark, folder), size=3, max_bits=3)
     printed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -47,10 +56,27 @@ def op10_pii_sanitisation(spark, folder):
 
 
 QUERIES = {
+    "op1_extendible_hash_sharding": op1_extendible_hash_sharding,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii_sanitisation": op10_pii_sanitisation,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_extendible_hash_sharding": f"""
+    WITH sized AS (
+      SELECT doc_id, coalesce(octet_length(encode(text)), 0)::BIGINT AS n_bytes,
+             lpad(bin(('0x' || substr(md5('=' || doc_id::VARCHAR), 1, 16))::UBIGINT), 64, '0') AS bits
+      FROM documents),
+    prefixes AS (
+      SELECT doc_id, n_bytes, d, substr(bits, 1, d) AS prefix FROM sized, range(0, 41) AS r(d)),
+    sums AS (
+      SELECT prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*)::BIGINT AS shard_rows FROM prefixes GROUP BY prefix),
+    fits AS (
+      SELECT p.*, s.shard_bytes, s.shard_rows FROM prefixes p JOIN sums s USING (prefix)
+      WHERE s.shard_bytes <= {SHARD_BYTES} OR s.shard_rows = 1)
+    SELECT doc_id, n_bytes, prefix AS shard, d::INTEGER AS depth, shard_bytes, shard_rows
+    FROM fits QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d) = 1
+    """,
+}
