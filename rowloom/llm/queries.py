@@ -12,6 +12,7 @@ from rowloom.llm.repeats import without_repeats
 from rowloom.llm.sanitise import KINDS, personal_spans, span_text
 from rowloom.llm.sharding import extendible_shards
 from rowloom.llm.simhash import simhash_components
+from rowloom.llm.syncmers import edited_fingerprints
 
 #: Bytes of text in a shard at most.
 SHARD_BYTES = 1 << 20
@@ -40,6 +41,10 @@ def op4_best_fit_packing(spark, folder):
     return packed(documents(spark, folder), WORDS_49K, ["doc_id"], capacity=2048)
 
 
+def op5_syncmer_fingerprints(spark, folder):
+    return edited_fingerprints(documents(spark, folder))
+
+
 def op9_suffix_array_dedup(spark, folder):
     return without_repeats(documents(spark, folder).select("doc_id", "text"), length=400)
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_syncmer_fingerprints": op5_syncmer_fingerprints,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii_sanitisation": op10_pii_sanitisation,
 }
