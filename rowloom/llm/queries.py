@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import documents
+from rowloom.llm.languages import held_out_languages
 from rowloom.llm.packing import packed
 from rowloom.llm.quality import BASE, quality_rules
 from rowloom.llm.repeats import without_repeats
@@ -45,6 +46,10 @@ def op5_syncmer_fingerprints(spark, folder):
     return edited_fingerprints(documents(spark, folder))
 
 
+def op6_language_id(spark, folder):
+    return held_out_languages(documents(spark, folder))
+
+
 def op9_suffix_array_dedup(spark, folder):
     return without_repeats(documents(spark, folder).select("doc_id", "text"), length=400)
 
@@ -66,6 +71,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_syncmer_fingerprints": op5_syncmer_fingerprints,
+    "op6_language_id": op6_language_id,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii_sanitisation": op10_pii_sanitisation,
 }
