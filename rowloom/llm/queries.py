@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowloom.llm.common import documents
 from rowloom.llm.languages import held_out_languages
 from rowloom.llm.packing import packed
+from rowloom.llm.pieces import piece_digests
 from rowloom.llm.quality import BASE, quality_rules
 from rowloom.llm.repeats import without_repeats
 from rowloom.llm.sanitise import KINDS, personal_spans, span_text
@@ -19,6 +20,7 @@ from rowloom.llm.syncmers import edited_fingerprints
 SHARD_BYTES = 1 << 20
 #: Where the public tokenizer files are; a parameter of the operators.
 WORDS_49K = public_tokenizers.path("word_bpe_49k.json")
+PIECES_32K = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_extendible_hash_sharding(spark, folder):
@@ -50,6 +52,10 @@ def op6_language_id(spark, folder):
     return held_out_languages(documents(spark, folder))
 
 
+def op8_sentencepiece_codec(spark, folder):
+    return piece_digests(documents(spark, folder), PIECES_32K, ["doc_id"])
+
+
 def op9_suffix_array_dedup(spark, folder):
     return without_repeats(documents(spark, folder).select("doc_id", "text"), length=400)
 
@@ -72,6 +78,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_syncmer_fingerprints": op5_syncmer_fingerprints,
     "op6_language_id": op6_language_id,
+    "op8_sentencepiece_codec": op8_sentencepiece_codec,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii_sanitisation": op10_pii_sanitisation,
 }

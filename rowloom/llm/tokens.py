@@ -7,15 +7,18 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CACHED_WORDS = 400_000
+from rowloom.llm.id_cache import IdCache
+
 CHUNK = 1 << 20
+#: A key with a space is no word; it stands for the end of a text.
+END = b" "
 
 
 class WordTokens:
     """Ids by a tokenizer that never joins across ASCII white space.
 
     Texts are cut at ASCII white space; each different word is encoded once
-    and kept until the cache is full, when it starts anew.
+    while the cache holds it.
     """
 
     def __init__(self, path: str, end_id: int = 0):
@@ -23,37 +26,16 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
-        self._clear()
-
-    def _clear(self) -> None:
-        # A key with a space is no word; it stands for the end of a text.
-        self.index = {b" ": 0}
-        self.flat, self.start, self.size = [self.end_id], [0], [1]
-
-    def _learn(self, words: list[bytes]) -> None:
-        todo = [w for w in set(words) if w not in self.index]
-        for at in range(0, len(todo), 10_000):
-            some = todo[at : at + 10_000]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                ids = found.ids
-                self.index[word] = len(self.start)
-                self.start.append(len(self.flat))
-                self.size.append(len(ids))
-                self.flat.extend(ids)
+        self.cache = IdCache(self._learn)
+
+    def _learn(self, words: list[bytes]) -> list[list[int]]:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [[self.end_id] if w == END else x.ids for w, x in zip(words, found)]
 
     def encode(self, words: list[bytes], part: list[int]) -> list[np.ndarray]:
         """Ids of consecutive runs of ``part[i]`` words."""
-        if len(self.index) > CACHED_WORDS:
-            self._clear()
-        self._learn(words)
-        flat, start, size = (np.array(x, np.int64) for x in (self.flat, self.start, self.size))
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        lengths = size[at]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(start[at] - (ends - lengths), lengths) + np.arange(total)].astype("<u4")
-        cuts = np.concatenate([[0], ends])[np.cumsum(part)]
-        return np.split(ids, cuts[:-1])
+        ids, ends = self.cache.ids(words)
+        return np.split(ids, np.concatenate([[0], ends])[np.cumsum(part)][:-1])
 
     def texts(self, bodies: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
         """(index, ids with the end id) of every text, in order; long texts are read in chunks."""
@@ -69,7 +51,7 @@ class WordTokens:
         for i, body in enumerate(bodies):
             if len(body) <= CHUNK:
                 some = body.split()
-                some.append(b" ")
+                some.append(END)
                 words += some
                 part.append(len(some))
                 owner.append(i)
