@@ -55,6 +55,12 @@ class PieceModel:
                 self.ids[piece], self.rank[piece] = i, sp.get_score(i)
                 self.raw[i] = piece.replace(MARK, " ").encode()
         self.longest = max(map(len, self.ids))
+        sizes: dict[str, set[int]] = {}
+        for piece in self.ids:
+            if len(piece) > 1:
+                sizes.setdefault(piece[-2:], {1}).add(len(piece))
+        #: Lengths of the pieces that end in two characters, the longest first.
+        self.sizes = {k: sorted(v, reverse=True) for k, v in sizes.items()}
         self.agreed: dict[tuple[str, str], bool] = {}
         self.cache = IdCache(lambda some: [self.stretch(s.decode().replace(" ", MARK)) for s in some])
         odd = [p for p in self.ids if "\n" in p or re.search(f"[^{MARK}]{MARK}", p)]
@@ -84,10 +90,13 @@ class PieceModel:
 
         ``last`` and ``back`` hold the places from ``done`` on; what is before is committed.
         """
-        ids, agreed, longest = self.ids, self.agreed, self.longest
+        ids, agreed, longest, sizes = self.ids, self.agreed, self.longest, self.sizes
         last, back, done, out, n = [""], [0], 0, [], len(text)
         for end in range(1, n + 1):
-            for start in range(max(done, end - longest), end):
+            for size in sizes.get(text[max(end - 2, 0) : end], (1,)):
+                start = end - size
+                if start < done:
+                    continue
                 piece = text[start:end]
                 if piece in ids:
                     before = last[start - done]
@@ -96,7 +105,7 @@ class PieceModel:
                         fits = agreed.get((before, piece))
                         if not (self.agree(before, piece) if fits is None else fits):
                             continue
-                elif end - start > 1:
+                elif size > 1:
                     continue
                 last.append(piece)
                 back.append(start)

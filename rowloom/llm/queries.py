@@ -15,6 +15,7 @@ from rowloom.llm.sanitise import KINDS, personal_spans, span_text
 from rowloom.llm.sharding import extendible_shards
 from rowloom.llm.simhash import simhash_components
 from rowloom.llm.syncmers import edited_fingerprints
+from rowloom.llm.toxicity import held_out_toxicity
 
 #: Bytes of text in a shard at most.
 SHARD_BYTES = 1 << 20
@@ -52,6 +53,11 @@ def op6_language_id(spark, folder):
     return held_out_languages(documents(spark, folder))
 
 
+def op7_toxicity_grammar(spark, folder):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return held_out_toxicity(documents(spark, folder), labels)
+
+
 def op8_sentencepiece_codec(spark, folder):
     return piece_digests(documents(spark, folder), PIECES_32K, ["doc_id"])
 
@@ -78,6 +84,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_syncmer_fingerprints": op5_syncmer_fingerprints,
     "op6_language_id": op6_language_id,
+    "op7_toxicity_grammar": op7_toxicity_grammar,
     "op8_sentencepiece_codec": op8_sentencepiece_codec,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii_sanitisation": op10_pii_sanitisation,
