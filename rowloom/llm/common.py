@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from rowloom.session import fits_broadcast, shared_dir
 
 SPACE = " \t\n\x0b\x0c\r"
+#: Spark's own setting: shuffle files go when the write that needed them has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -20,7 +22,12 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

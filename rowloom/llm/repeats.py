@@ -21,7 +21,7 @@ anchor occurrence, together under ``2 * length`` bytes.
 * An anchor with more than ``MAX_SEGMENTS`` different segments is judged window
   by window, by counted 128-bit hashes, so no group ends up in one task.
 
-Texts are told apart by their 256-bit digest; rows with equal texts are counted
+Texts are told apart by 128 bits of their SHA-256 digest; rows with equal texts are counted
 as occurrences and have equal results. Null texts are empty; texts under
 ``length`` bytes keep everything; an empty table gives an empty result.
 """
@@ -102,7 +102,7 @@ def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    names = ["anchor", "seg", "doc", "place", "first", "last"]
+    names = ["anchor", "seg", "doc", "first", "last"]
     for batch in batches:
         found, segs, docs = [], [], []
         for doc, text in zip(batch.column(0), batch.column(1).cast(pa.binary())):
@@ -114,7 +114,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
             # The anchor's offset belongs to the segment, so that equal segments line up.
             segs += [digest(view[x : y + length]) + int(q - x).to_bytes(2, "big") for q, x, y in zip(p.tolist(), a.tolist(), b.tolist())]
             docs += [doc.as_py()] * len(h)
-            found.append((h.view(np.int64), p, a, b))
+            found.append((h.view(np.int64), a, b))
             if len(segs) > 50_000:
                 yield pa.RecordBatch.from_arrays(_columns(found, segs, docs), names=names)
                 found, segs, docs = [], [], []
@@ -123,8 +123,8 @@ def _occurrences(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
 
 
 def _columns(found, segs, docs):
-    h, p, a, b = (np.concatenate(x) for x in zip(*found))
-    return [pa.array(h), pa.array(segs, pa.binary()), pa.array(docs, pa.binary()), *map(pa.array, (p, a, b))]
+    h, a, b = (np.concatenate(x) for x in zip(*found))
+    return [pa.array(h), pa.array(segs, pa.binary()), pa.array(docs, pa.binary()), pa.array(a), pa.array(b)]
 
 
 def _range_least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -244,7 +244,7 @@ def repeat_spans(texts: DataFrame, length: int = 400) -> DataFrame:
 
     ``texts`` has ``doc`` and ``text``, a row for every occurrence of a text.
     """
-    kinds = "anchor bigint, seg binary, doc binary, place bigint, first bigint, last bigint"
+    kinds = "anchor bigint, seg binary, doc binary, first bigint, last bigint"
     found = stored(texts.mapInArrow(lambda it: _occurrences(it, length), kinds))
     again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     found = stored(found.join(again, "anchor", "left_semi"))
@@ -265,7 +265,8 @@ def repeat_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     bodies = one.mapInArrow(lambda it: _cut_out(it, length, False), "anchor bigint, seg binary, body binary")
     bodies = bodies.repartition("anchor").sortWithinPartitions("anchor")
     kinds = "anchor bigint, seg binary, spans array<struct<s: bigint, e: bigint>>"
-    part = bodies.mapInArrow(lambda it: _compared(it, length), kinds)
+    # Stored, so that the texts it shuffled are off the disks before texts move again.
+    part = stored(bodies.mapInArrow(lambda it: _compared(it, length), kinds))
     relative = part.join(whole, ["anchor", "seg"], "left_anti").unionByName(
         whole.withColumn("spans", F.lit(None).cast("array<struct<s: bigint, e: bigint>>"))
     )
@@ -288,7 +289,7 @@ def repeat_spans(texts: DataFrame, length: int = 400) -> DataFrame:
             single.select("doc", F.array(F.struct(F.col("at").alias("s"), (F.col("at") + length).alias("e"))).alias("spans"))
         )
     gathered = placed.distinct().groupBy("doc").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    return gathered
+    return stored(gathered)
 
 
 def _removed(batches: Iterator[pa.RecordBatch], keep: list[int], with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -331,7 +332,7 @@ def without_repeats(docs: DataFrame, length: int = 400, text: str = "text", with
     if not 2 * GRAM <= length < 10_000:
         raise ValueError("length must be from 64 to 9,999 bytes")
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    digest = F.unhex(F.sha2(body, 256))
+    digest = F.unhex(F.substring(F.sha2(body, 256), 1, 32))
     spans = repeat_spans(docs.select(digest.alias("doc"), body.alias("text")), length)
     rest = [c for c in docs.columns if c != text]
     sources = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)), body.alias("__text"), digest.alias("doc"))
