@@ -17,8 +17,15 @@ from rowloom.llm.sanitise import personal_spans, sanitised
 from rowloom.llm.simhash import first_of_components
 
 
+def _apart(docs):
+    """``docs`` with columns renamed that no operator needs, so that none clashes, and the way back."""
+    names = {c: c if c in ("doc_id", "text", "lang", "source") else f"__p{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    return renamed, lambda rows: rows.select(*(F.col(n).alias(c) for c, n in names.items()))
+
+
 def _changed(docs, rows, text):
-    """The columns of ``docs`` in order, with a new text and its length."""
+    """``rows`` with a new text, and its length where ``docs`` has one."""
     new = {"text": text}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
@@ -27,7 +34,8 @@ def _changed(docs, rows, text):
 
 def quality_stage(spark, docs, sf_dir):
     """Documents that the quality rules keep."""
-    return quality_rules(docs, keep_text=True).where("kept").select(*(f"`{c}`" for c in docs.columns))
+    apart, back = _apart(docs)
+    return back(quality_rules(apart, keep_text=True).where("kept"))
 
 
 def near_copy_stage(spark, docs, sf_dir):
@@ -37,15 +45,17 @@ def near_copy_stage(spark, docs, sf_dir):
 
 def repeats_stage(spark, docs, sf_dir):
     """Texts without the bytes of strings that occur again; documents left empty stay, with an empty text."""
-    with_old = docs.withColumn("__old", F.col("text"))
-    rows = without_repeats(with_old, length=400, with_text=True)
-    return _changed(docs, rows, F.coalesce("__left", "__old"))
+    apart, back = _apart(docs)
+    rows = without_repeats(apart.withColumn("__old", F.col("text")), length=400, with_text=True)
+    rows = rows.withColumn("text", F.coalesce("__left", "__old"))
+    return _changed(docs, back(rows), F.col("text"))
 
 
 def personal_data_stage(spark, docs, sf_dir):
     """Texts with class words for personal data, without the terms that reveal it."""
-    rows = personal_spans(docs, keep_text=True).withColumn("__new", sanitised(F.col("text"), F.col("spans")))
-    return _changed(docs, rows, F.col("__new"))
+    apart, back = _apart(docs)
+    rows = personal_spans(apart, keep_text=True)
+    return _changed(docs, back(rows.withColumn("text", sanitised(F.col("text"), F.col("spans")))), F.col("text"))
 
 
 def packing_stage(spark, docs, sf_dir):

@@ -231,8 +231,11 @@ def robust_estimates(rows: DataFrame, rule: OutlierRule) -> DataFrame:
 def quality_rules(docs: DataFrame, rule: OutlierRule = OutlierRule(), text: str = "text", keep_text: bool = False) -> DataFrame:
     """One row for each row of ``docs``: its other columns, ``BASE``, ``base_failed``, ``d2`` and ``kept``.
 
-    With ``keep_text`` the text stays in the result.
+    With ``keep_text`` the text stays in the result. Columns of ``docs`` with
+    names of the result or of the statistics are replaced or dropped.
     """
+    own = [*BASE, *FEATURES, "base_failed", "d2", "kept", "grp", "g_lang", "g_both"]
+    docs = docs.drop(*own)
     source = docs.withColumn("__body", F.col(f"`{text}`")) if keep_text else docs
     for name in ("lang", "source"):
         if name not in docs.columns:
