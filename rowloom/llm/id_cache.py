@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -33,7 +34,7 @@ class IdCache:
     def put(self, words: list[bytes], ids: list[list[int]]) -> None:
         n, m = len(self.index), len(words)
         sizes = np.fromiter(map(len, ids), np.int64, m)
-        flat = np.fromiter((x for some in ids for x in some), "<u4", int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum()))
         for name in ("start", "size", "uses"):
             self._room(name, n + m)
         self._room("flat", self.used + len(flat))
@@ -55,11 +56,12 @@ class IdCache:
         """The ids of all words in a row, and where each word's end."""
         if len(self.index) > self.limit:
             self._trim()
-        index = self.index
-        todo = [w for w in set(words) if w not in index]
-        for at in range(0, len(todo), 10_000):
-            self.put(todo[at : at + 10_000], self.learn(todo[at : at + 10_000]))
-        at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0).tolist()
+        todo = list(dict.fromkeys(words[i] for i in new))
+        for k in range(0, len(todo), 10_000):
+            self.put(todo[k : k + 10_000], self.learn(todo[k : k + 10_000]))
+        at[new] = [self.index[words[i]] for i in new]
         self.uses += np.bincount(at, minlength=len(self.uses)) if len(words) > 10_000 else 0
         if len(words) <= 10_000:
             np.add.at(self.uses, at, 1)
