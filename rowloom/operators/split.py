@@ -27,7 +27,6 @@ from pyspark.sql import types as T
 
 from rowloom.functions.content import need_columns
 from rowloom.functions.text import quoted
-from rowloom.operators.joins import HOT_SHARE
 from rowloom.operators.labels import UnknownLabelsError
 
 FIRST_DIGITS = 3  # 4,096 buckets per class in the first histogram
@@ -393,8 +392,10 @@ def copies_of(rows: DataFrame, count: str) -> DataFrame:
         "__first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1, size))
     )
     last = F.least(F.col("__first") + size, F.col(count)) - 1
+    # A number of its own, or adaptive execution would join the small pieces to one task again.
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
     return (
-        pieces.repartition("__first")
+        pieces.repartition(tasks, "__first")
         .withColumn("__copy", F.explode(F.sequence("__first", last)))
         .drop("__first")
     )
@@ -407,6 +408,13 @@ def _need_known(totals: dict) -> None:
         raise UnknownLabelsError(f"{totals[None]} rows have an unknown label")
 
 
+def _need_truth_values(df: DataFrame, label: str) -> None:
+    need_columns(df, [label], "label column")
+    kind = df.select(quoted(label)).schema[0].dataType
+    if kind.typeName() != "boolean":
+        raise ValueError(f"label column {label!r} has to hold truth values, not {kind.simpleString()}")
+
+
 def split_by_ratio(
     df: DataFrame,
     label: str,
@@ -422,7 +430,7 @@ def split_by_ratio(
     """
     if not 0.0 < train_ratio < 1.0:
         raise ValueError(f"train_ratio has to lie between 0 and 1, not {train_ratio}")
-    need_columns(df, [label], "label column")
+    _need_truth_values(df, label)
 
     def train_rows(_cls: Column, total: Column) -> Column:
         share = (total.cast("double") * F.lit(float(train_ratio))).cast("bigint")
@@ -450,7 +458,7 @@ def split_by_count(
     out: str = "split",
 ) -> DataFrame:
     """Exactly the asked number of rows for each class and part; test is drawn first, the rest is left out."""
-    need_columns(df, [label], "label column")
+    _need_truth_values(df, label)
     asked = {True: (test_pos, train_pos), False: (test_neg, train_neg)}
     if min(n for pair in asked.values() for n in pair) < 0:
         raise ValueError("counts have to be zero or more")
@@ -484,29 +492,15 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42, key: list[str] | None = N
 
 
 def shuffle_rows(df: DataFrame, seed: int = 42, key: list[str] | None = None) -> DataFrame:
-    """All rows in a seeded random order (a range-partitioned sort on the digest).
+    """All rows in a seeded random order, which does not depend on the partitions.
 
-    Digests that hold more than a hundredth of the rows would fill one range.
-    Their rows are counted as copies, written out again and given a place of
-    their own each, so they are spread over the whole order.
+    One rule for all rows: copies of one row are counted and written out again
+    with a number each. The first takes the place of its key's digest, each other
+    a digest of its own, so copies are spread over the order and over tasks.
     """
-    digest = row_digest(df, seed, key)
-    hot = df.select(digest.alias("h")).stat.freqItems(["h"], HOT_SHARE).first()[0] or []
-    counts = df.select(digest.alias("h")).where(F.col("h").isin(list(hot))).groupBy("h").count()
-    hot = [r["h"] for r in counts.where(F.col("count") > 1).collect()] if hot else []
-    columns = [quoted(n) for n in df.columns]
-    placed = df.withColumn("__place", digest)
-    order = ["__place"] if key is None else ["__place", *(quoted(k) for k in key)]
-    if not hot:
-        return placed.orderBy(*order).select(*columns)
-    copies = (
-        df.where(digest.isin(hot))
-        .groupBy(digest.alias("__h"), F.md5(row_text(df)).alias("__g"))
-        .agg(F.any_value(F.struct(*columns)).alias("__row"), F.count(F.lit(1)).alias("n"))
-    )
-    scattered = copies_of(copies, "n").select(
-        "__row.*", F.md5(F.concat_ws(":", "__h", "__g", "__copy")).alias("__place")
-    )
-    return (
-        placed.where(~digest.isin(hot)).unionByName(scattered).orderBy(*order).select(*columns)
+    groups = df.groupBy(row_digest(df, seed, key).alias("__h"), F.md5(row_text(df)).alias("__g")).agg(
+        F.any_value(F.struct(*(quoted(n) for n in df.columns))).alias("__row"), F.count(F.lit(1)).alias("__n")
     )
+    again = F.md5(F.concat_ws(":", "__h", "__g", "__copy"))
+    placed = copies_of(groups, "__n").withColumn("__place", F.when(F.col("__copy") == 0, F.col("__h")).otherwise(again))
+    return placed.orderBy("__place", "__g").select("__row.*")

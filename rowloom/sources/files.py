@@ -22,6 +22,7 @@ FORMAT_OF_SUFFIX = {
 }
 FORMATS = sorted(set(FORMAT_OF_SUFFIX.values()))
 
+_SURPLUS = "__surplus"
 _CSV = {"quote": '"', "escape": '"'}
 
 
@@ -52,7 +53,7 @@ def load_table(
         return read_json_lines(spark, path, schema)
     if kind == "xlsx":
         return read_workbooks(spark, path, sheet, schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
 
@@ -72,8 +73,10 @@ def read_csv(
     """A CSV table with a header line; names trimmed, missing-value words null, types decided.
 
     ``multi_line`` is looked up in the files by default, so that files without
-    line breaks inside quotes are split over tasks. With a schema nothing is
-    scanned beforehand except for that.
+    line breaks inside quotes are split over tasks. Every file of a folder has to
+    have the same header, and no line more fields than that: both fail the query.
+    With a schema nothing is scanned beforehand except for the line breaks, and
+    columns are matched by position.
     """
     if multi_line is None:
         multi_line = _quoted_newlines(spark, path)
@@ -82,18 +85,28 @@ def read_csv(
         head = reader.option("header", False).csv(path).head()
         if head is None:
             raise ValueError(f"{path!r} has no header line")
-        names = trimmed_names(
-            [f"Unnamed: {i}" if n is None else n for i, n in enumerate(head)]
-        )
+        found = [f"Unnamed: {i}" if n is None else n for i, n in enumerate(head)]
+        names = trimmed_names(found)
     else:
         names = schema.names
-    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    table = reader.option("header", True).schema(texts).csv(path)
-    table = table.select(*(missing_to_null(quoted(n)).alias(n) for n in names))
-    types = decided_types(table, names) if schema is None else {f.name: f.dataType for f in schema}
+    reader = reader.option("header", True)
+    if schema is None:
+        # Spark compares the header of every file with these names, but cannot where one is empty.
+        checked = reader.option("enforceSchema", None in head).schema(_text_columns(found)).csv(path).toDF(*names)
+        types = decided_types(checked.select(*(missing_to_null(quoted(n)).alias(n) for n in names)), names)
+    else:
+        types = {f.name: f.dataType for f in schema}
+    table = reader.option("enforceSchema", True).schema(_text_columns([*names, _SURPLUS])).csv(path)
+    message = F.concat(F.lit("a line has more fields than the header; the first is "), F.col(_SURPLUS))
+    fits = F.when(F.col(_SURPLUS).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    table = table.where(fits).select(*(missing_to_null(quoted(n)).alias(n) for n in names))
     return cast_columns(table, types)
 
 
+def _text_columns(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def read_json_lines(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:

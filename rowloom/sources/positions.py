@@ -21,7 +21,6 @@ from rowloom.sources.workbook import read_workbooks
 # Up to this position a top-k per task is the cheapest way.
 TOP_K = 10_000
 _ROW_NO = "__row_no"
-_IN_PARTITION = (1 << 33) - 1  # monotonically_increasing_id counts rows below this bit
 
 
 def _need_position(index: int) -> None:
@@ -29,6 +28,11 @@ def _need_position(index: int) -> None:
         raise ValueError(f"a position has to be zero or more, not {index}")
 
 
+def _same_key(a: Row, b: Row) -> bool:
+    """Equal as Spark compares keys: NaN is equal to itself."""
+    return all(x == y or (x != x and y != y) for x, y in zip(a, b))
+
+
 def _key_at(keys: DataFrame, index: int) -> tuple[Row, int]:
     """The key at ``index`` in ascending order, and how many equal keys come before it."""
     columns = [quoted(c) for c in keys.columns]
@@ -36,7 +40,7 @@ def _key_at(keys: DataFrame, index: int) -> tuple[Row, int]:
         front = keys.orderBy(*columns).limit(index + 1).collect()  # at most TOP_K keys
         if len(front) <= index:
             raise ValueError(f"position {index} is out of range: there are {len(front)} rows")
-        return front[-1], front.count(front[-1]) - 1
+        return front[-1], sum(_same_key(k, front[-1]) for k in front) - 1
     counts = keys.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
     ranges = checkpointed(counts.repartitionByRange(*columns).sortWithinPartitions(*columns))
     ranges = ranges.withColumn("__range", F.spark_partition_id())
@@ -81,25 +85,26 @@ def row_at(df: DataFrame, index: int, order: list[str]) -> DataFrame:
 def file_row_at(df: DataFrame, index: int) -> DataFrame:
     """The row at ``index`` of a table read from files, in the order of files and their lines.
 
-    Rows are counted for each piece of a file that is read by one task; then only
-    the piece that holds the position is read again.
+    Rows are counted for each file. The one file that holds the position is read
+    again and kept with each row's piece and place in it, so that counting the
+    pieces and taking the row see the same pieces however a scan cuts the file.
     """
     _need_position(index)
-    file, at = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
-    in_order = Window.orderBy("file", "at").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    pieces = df.groupBy(file.alias("file"), at.alias("at")).agg(F.count(F.lit(1)).alias("__n"))
-    place = _covering(pieces, in_order, index)
+    file = F.col("_metadata.file_path")
+    files = df.groupBy(file.alias("file")).agg(F.count(F.lit(1)).alias("__n"))
+    running = Window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    place = _covering(files, running.orderBy("file"), index)
     if place is None:
         raise ValueError(f"position {index} is out of range")
-    nth = index - place["__before"]
-    return (
-        df.where((file == place["file"]) & (at == place["at"]))
-        .withColumn("__nth", F.monotonically_increasing_id())
-        .where(F.col("__nth").bitwiseAND(F.lit(_IN_PARTITION)) == nth)
-        .drop("__nth")
+    kept = checkpointed(
+        df.where(file == place["file"]).select(
+            "*", F.col("_metadata.file_block_start").alias("__at"), F.monotonically_increasing_id().alias("__id")
+        )
     )
+    pieces = kept.groupBy("__at").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    piece = _covering(pieces, running.orderBy("__at"), index - place["__before"])
+    wanted = piece["__first"] + index - place["__before"] - piece["__before"]
+    return kept.where(F.col("__id") == wanted).drop("__at", "__id")
 
 
 def json_line_at(spark: SparkSession, path: str, index: int) -> dict:

@@ -131,8 +131,8 @@ def read_workbooks(
 ) -> DataFrame:
     """The chosen sheet of each workbook under ``path`` as one table, columns matched by name.
 
-    Without a schema the first workbook names the columns and one pass decides
-    their types: numbers and truth values as stored, everything else text.
+    Without a schema the headers of all workbooks name the columns, by their
+    first place in a header, and one pass decides their types: numbers and truth values as stored, everything else text.
     ``row_no`` names an extra column for the row's number in its sheet.
     """
     unpack = _unpacker(resolve_sheet(sheet))
@@ -142,11 +142,11 @@ def read_workbooks(
         return files.mapInPandas(unpack, _ROWS)
 
     if schema is None:
-        first = spark.read.format("binaryFile").load(path).agg(F.min("path")).first()[0]
-        head = rows_of(first).where("names is not null").first() if first else None
-        if head is None:
+        named = rows_of(path).where("names is not null").select(F.posexplode("names").alias("pos", "name"))
+        heads = named.groupBy("name").agg(F.min("pos").alias("pos")).orderBy("pos", "name").collect()
+        if not heads:
             raise ValueError(f"no workbook with a header row under {path!r}")
-        names = trimmed_names(head["names"])
+        names = trimmed_names([r["name"] for r in heads])
     else:
         names = schema.names
     extra = [] if row_no is None else [F.col("row_no").alias(row_no)]

@@ -76,3 +76,16 @@ def test_one_row_of_a_file_of_each_kind(spark, tmp_path):
     for name, i in (("a.csv", 3), ("a.xlsx", 30), ("a.jsonl", 2), ("a.parquet", 10), ("a.csv", -1)):
         with pytest.raises(ValueError):
             load_row(spark, str(tmp_path / name), i)
+
+
+def test_positions_over_large_files(spark, tmp_path):
+    for part in range(2):
+        (tmp_path / f"{part}.csv").write_text("a\n" + "".join(f"{part * 200_000 + i}\n" for i in range(200_000)))
+    df = read_csv(spark, str(tmp_path), multi_line=False)
+    for i in (0, 150_000, 199_999, 200_000, 350_000, 399_999):
+        assert file_row_at(df, i).collect() == [(i,)]
+
+
+def test_keys_that_are_not_numbers(spark, way):
+    df = spark.sql("select id, if(id < 2, double(id), double('nan')) k from range(6)")
+    assert sorted(row_at(df, i, ["k"]).first().id for i in range(6)) == list(range(6))

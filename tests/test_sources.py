@@ -185,7 +185,8 @@ def test_a_folder_of_workbooks(spark, tmp_path):
     workbook(tmp_path / "a.xlsx", {"S": [["x", "y"], [1, "a"]]})
     workbook(tmp_path / "b.xlsx", {"S": [["y", "z", "x"], ["b", 0, 2], ["c", 0, 3]]})
     df = load_table(spark, str(tmp_path), "xlsx")
-    assert sorted(values(df)) == [(1, "a"), (2, "b"), (3, "c")]
+    assert df.columns == ["x", "y", "z"]
+    assert sorted(values(df)) == [(1, "a", None), (2, "b", 0), (3, "c", 0)]
     schema = T.StructType().add("z", "integer").add("x", "double")
     got = sorted(values(load_table(spark, str(tmp_path), "xlsx", schema=schema)), key=repr)
     assert got == [(0, 2.0), (0, 3.0), (None, 1.0)]
@@ -249,3 +250,17 @@ def test_split_sinks(spark, tmp_path):
 def test_cast_to_text_skips_absent_columns(spark):
     df = columns_as_text(spark.sql("select 1.0D a, true b, cast(null as int) c, 5 d"), ["a", "b", "c", "zz"])
     assert values(df) == [("1.0", "True", None, 5)]
+
+
+def test_files_of_a_folder_that_do_not_fit_together(spark, tmp_path):
+    for name, text in {"a/1": "a,b\n1,x\n", "a/2": "b,a\ny,2\n", "s/1": "a,b\n1,x\n2,y,z\n", "f/1": "a,b\n1,x\n", "f/2": "a,b\n2\n"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / f"{name}.csv").write_text(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        load_table(spark, str(tmp_path / "a"), "csv").collect()
+    with pytest.raises(Exception, match="more fields"):
+        load_table(spark, str(tmp_path / "s"), "csv").collect()
+    assert sorted(values(load_table(spark, str(tmp_path / "f"), "csv"))) == [(1, "x"), (2, None)]
+    spark.range(1).write.parquet(str(tmp_path / "p" / "k=1"))
+    spark.range(1).selectExpr("id", "'v' more").write.parquet(str(tmp_path / "p" / "k=2"))
+    assert set(load_table(spark, str(tmp_path / "p"), "parquet").columns) == {"id", "more", "k"}

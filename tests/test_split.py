@@ -188,3 +188,15 @@ def test_from_raw_labels_to_sizes(spark):
         train_test_split(df, "l", mode="other")
     counted = train_test_split(df, "l", "count", train_pos=5, test_neg=6)
     assert {r.split: r.n for r in split_sizes(counted).collect()} == {"train": 5, "test": 6}
+
+
+def test_one_order_for_any_partitions(spark):
+    df = spark.range(900).selectExpr("if(id < 300, 0, id) k", "id % 7 v")
+    for key in (None, ["k"]):
+        orders = [shuffle_rows(df.repartition(n), 5, key).collect() for n in (1, 7, 64)]
+        assert orders[0] == orders[1] == orders[2] != df.collect()
+
+
+def test_labels_have_to_be_truth_values(spark):
+    with pytest.raises(ValueError, match="truth values"):
+        split_by_ratio(spark.range(9).selectExpr("id", "id % 3 c"), "c")
