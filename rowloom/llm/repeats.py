@@ -20,6 +20,8 @@ anchor occurrence, together under ``2 * length`` bytes.
   one column.
 * An anchor with more than ``MAX_SEGMENTS`` different segments is judged window
   by window, by counted 128-bit hashes, so no group ends up in one task.
+* Occurrences of a hot anchor, segment or window are dealt over many tasks in
+  every join (``spread_join``); of equal texts one a task is sent on for its bytes.
 
 Texts are told apart by 128 bits of their SHA-256 digest; rows with equal texts are counted
 as occurrences and have equal results. Null texts are empty; texts under
@@ -38,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import stored
+from rowloom.llm.common import spread_join, stored
 
 GRAM = 32
 MAX_SEGMENTS = 16384
@@ -239,6 +241,18 @@ def _cut_out(batches: Iterator[pa.RecordBatch], length: int, per_window: bool) -
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(part, kinds)], names=names)
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each text in a task, so that copies do not gather where texts are shuffled."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        take = []
+        for i, doc in enumerate(batch.column(0).to_pylist()):
+            if doc not in seen:
+                seen.add(doc)
+                take.append(i)
+        yield batch.take(pa.array(take, pa.int64()))
+
+
 def repeat_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     """``doc`` (a text's digest) and its repeated stretches ``spans`` [s, e), unmerged; one row a text with any.
 
@@ -246,8 +260,9 @@ def repeat_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     """
     kinds = "anchor bigint, seg binary, doc binary, first bigint, last bigint"
     found = stored(texts.mapInArrow(lambda it: _occurrences(it, length), kinds))
-    again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    found = stored(found.join(again, "anchor", "left_semi"))
+    again = stored(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    # Rows of a stored table keep their numbers when a task runs anew.
+    found = stored(spread_join(found, again.select("anchor"), ["anchor"], "left_semi", again, F.monotonically_increasing_id()))
     segments = stored(
         found.groupBy("anchor", "seg").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "first", "last")).alias("one")
@@ -260,8 +275,8 @@ def repeat_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     whole = segments.where("n > 1").select("anchor", "seg")
     asked = segments.join(compare, "anchor").select("anchor", "seg", "n", "one.*")
     wanted = asked.groupBy("doc").agg(F.collect_list(F.struct("anchor", "seg", "first", "last")).alias("asked"))
-    one = texts.where(F.octet_length("text") >= length).join(wanted, "doc").select("text", "asked", "doc")
-    one = one.dropDuplicates(["doc"]).select("text", "asked")
+    once = texts.where(F.octet_length("text") >= length).select("doc", "text").mapInArrow(_once, "doc binary, text string")
+    one = once.join(wanted, "doc").dropDuplicates(["doc"]).select("text", "asked")
     bodies = one.mapInArrow(lambda it: _cut_out(it, length, False), "anchor bigint, seg binary, body binary")
     bodies = bodies.repartition("anchor").sortWithinPartitions("anchor")
     kinds = "anchor bigint, seg binary, spans array<struct<s: bigint, e: bigint>>"
@@ -270,21 +285,23 @@ def repeat_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     relative = part.join(whole, ["anchor", "seg"], "left_anti").unionByName(
         whole.withColumn("spans", F.lit(None).cast("array<struct<s: bigint, e: bigint>>"))
     )
-    placed = found.join(relative, ["anchor", "seg"]).select(
+    counts = segments.select("anchor", "seg", "n")
+    placed = spread_join(found, relative, ["anchor", "seg"], "inner", counts, F.monotonically_increasing_id()).select(
         "doc",
         F.when(F.col("spans").isNull(), F.array(F.struct(F.col("first").alias("s"), (F.col("last") + length).alias("e"))))
         .otherwise(F.transform("spans", lambda x: F.struct((x["s"] + F.col("first")).alias("s"), (x["e"] + F.col("first")).alias("e"))))
         .alias("spans"),
     )
     if not hot.isEmpty():
-        here = found.join(hot, "anchor", "left_semi").select("doc", "first", "last").distinct()
+        here = spread_join(found, hot, ["anchor"], "left_semi", again, F.monotonically_increasing_id())
+        here = here.select("doc", "first", "last").distinct()
         counts = texts.where(F.octet_length("text") >= length).groupBy("doc").agg(F.count(F.lit(1)).alias("copies"))
         asked = here.groupBy("doc").agg(F.collect_list(F.struct("doc", "first", "last")).alias("asked"))
-        one = texts.join(asked, "doc").select("text", "asked", "doc").dropDuplicates(["doc"]).select("text", "asked")
+        one = once.join(asked, "doc").dropDuplicates(["doc"]).select("text", "asked")
         windows = stored(one.mapInArrow(lambda it: _cut_out(it, length, True), "doc binary, at bigint, hash binary"))
         windows = windows.join(counts, "doc")
-        twice = windows.groupBy("hash").agg(F.sum("copies").alias("n")).where("n > 1").select("hash")
-        single = windows.join(twice, "hash", "left_semi")
+        twice = stored(windows.groupBy("hash").agg(F.sum("copies").alias("n")).where("n > 1"))
+        single = spread_join(windows, twice.select("hash"), ["hash"], "left_semi", twice, F.xxhash64("doc", "at"))
         placed = placed.unionByName(
             single.select("doc", F.array(F.struct(F.col("at").alias("s"), (F.col("at") + length).alias("e"))).alias("spans"))
         )

@@ -305,11 +305,12 @@ def _repeats(bodies, length):
     return out
 
 
-@pytest.mark.parametrize("limit", [16384, 1])
-def test_repeats(docs, none, rows, monkeypatch, limit):
-    from rowloom.llm import repeats
+@pytest.mark.parametrize(("limit", "least_hot"), [(16384, 1000), (16384, 1), (1, 1)])
+def test_repeats(docs, none, rows, monkeypatch, limit, least_hot):
+    from rowloom.llm import common, repeats
 
     monkeypatch.setattr(repeats, "MAX_SEGMENTS", limit)
+    monkeypatch.setattr(common, "LEAST_HOT", least_hot)  # 1: every repeated key is dealt over parts
     small = docs.where("octet_length(text) < 8000 or text is null")
     mine = [r for r in rows if len((r[1] or "").encode()) < 8000]
     expected = {r[0]: x for r, x in zip(mine, _repeats([(r[1] or "").encode() for r in mine], 400))}
