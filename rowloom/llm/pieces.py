@@ -67,69 +67,78 @@ class PieceModel:
         if odd or len(self.bytes) < 256 or sp.encode("a  b½ﬁ") != self.encode("a  b½ﬁ".encode()).tolist():
             raise ValueError("the model's pieces cross spaces or lines, or it has no byte fallback, or it normalises")
 
-    def merged(self, text: str) -> list[str]:
-        """Pieces by merging neighbours of the best score first, the leftmost of equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            scores = [self.rank.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
-            best = max(scores)
-            if best == -np.inf:
-                break
-            k = scores.index(best)
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-        return parts
-
     def agree(self, a: str, b: str) -> bool:
+        """Whether ``a + b``, merged on its own (best score first, leftmost of equals), gives just ``a`` and ``b``.
+
+        A character without a piece becomes bytes and never merges. A merge over the border settles it early.
+        """
         if len(self.agreed) > AGREED:
             self.agreed.clear()
-        known = self.agreed[a, b] = self.merged(a + b) == [a, b]
+        rank, parts, border = self.rank, list(a + b), len(a)
+        known = a not in self.ids
+        if not known:
+            scores = [rank.get(x + y, -np.inf) for x, y in zip(parts, parts[1:])]
+            while (best := max(scores, default=-np.inf)) > -np.inf:
+                k = scores.index(best)
+                if k == border - 1:
+                    break
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+                del scores[k]
+                border -= k < border
+                if k:
+                    scores[k - 1] = rank.get(parts[k - 1] + parts[k], -np.inf)
+                if k < len(scores):
+                    scores[k] = rank.get(parts[k] + parts[k + 1], -np.inf)
+            else:
+                known = parts == [a, b]
+        self.agreed[a, b] = known
         return known
 
     def stretch(self, text: str) -> list[int]:
         """The ids of a text whose spaces are marks, by the streaming lattice.
 
-        ``last`` and ``back`` hold the places from ``done`` on; what is before is committed.
+        ``last`` holds the last piece for the places from ``done`` on; what is before is committed.
+        A place's back pointer is the start of its last piece.
         """
-        ids, agreed, longest, sizes = self.ids, self.agreed, self.longest, self.sizes
-        last, back, done, out, n = [""], [0], 0, [], len(text)
-        for end in range(1, n + 1):
-            for size in sizes.get(text[max(end - 2, 0) : end], (1,)):
-                start = end - size
-                if start < done:
-                    continue
-                piece = text[start:end]
-                if piece in ids:
-                    before = last[start - done]
-                    # A character without a piece becomes bytes and never merges.
-                    if before in ids:
-                        fits = agreed.get((before, piece))
-                        if not (self.agree(before, piece) if fits is None else fits):
+        ids, agreed, sizes, window = self.ids, self.agreed, self.sizes, COMMIT_EVERY + self.longest
+        last, done, end, out, n = [""], 0, 0, [], len(text)
+        while end < n:
+            for end in range(end + 1, min(n, max(end + 1, done + window)) + 1):
+                for size in sizes.get(text[end - 2 : end], (1,)) if end > 1 else (1,):
+                    start = end - size
+                    if start < done:
+                        continue
+                    piece = text[start:end]
+                    if piece in ids:
+                        pair = last[start - done], piece
+                        fits = agreed.get(pair)
+                        if not (self.agree(*pair) if fits is None else fits):
                             continue
-                elif size > 1:
-                    continue
-                last.append(piece)
-                back.append(start)
-                break
-            if end == n or end - done >= COMMIT_EVERY + longest:
-                done = self._commit(done, end, n, last, back, out)
+                    elif size > 1:
+                        continue
+                    last.append(piece)
+                    break
+            done = self._commit(done, end, n, last, out)
         return out
 
-    def _commit(self, done: int, end: int, n: int, last: list[str], back: list[int], out: list[int]) -> int:
+    def _commit(self, done: int, end: int, n: int, last: list[str], out: list[int]) -> int:
         """Appends the ids up to the boundary in which all surviving paths meet; returns the boundary."""
-        alive = {end} if end == n else set(range(max(done, end - self.longest + 1), end + 1))
-        while len(alive) > 1:
-            furthest = max(alive)
-            alive.remove(furthest)
-            alive.add(back[furthest - done] if furthest > done else done)
-        at = alive.pop()
+        at = end
+        if end < n:
+            alive = set(range(max(done, end - self.longest + 1), end + 1))
+            while len(alive) > 1:
+                furthest = max(alive)
+                alive.remove(furthest)
+                alive.add(furthest - len(last[furthest - done]))
+            at = alive.pop()
         path, k = [], at
         while k > done:
             path.append(last[k - done])
-            k = back[k - done]
+            k -= len(path[-1])
         for piece in reversed(path):
             i = self.ids.get(piece)
             out.extend([i] if i is not None else [self.bytes[x] for x in piece.encode()])
-        del last[: at - done], back[: at - done]
+        del last[: at - done]
         return at
 
     def encode(self, body: bytes) -> np.ndarray:
