@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from rowloom.llm.alignment import alignment_counts
 from rowloom.llm.common import documents
 from rowloom.llm.languages import held_out_languages
 from rowloom.llm.packing import packed
@@ -22,6 +23,7 @@ SHARD_BYTES = 1 << 20
 #: Where the public tokenizer files are; a parameter of the operators.
 WORDS_49K = public_tokenizers.path("word_bpe_49k.json")
 PIECES_32K = public_tokenizers.path("piece_bpe_32k.model")
+BYTES_50K = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_extendible_hash_sharding(spark, folder):
@@ -77,6 +79,10 @@ def op10_pii_sanitisation(spark, folder):
     )
 
 
+def op11_cross_tokenizer_alignment(spark, folder):
+    return alignment_counts(documents(spark, folder), BYTES_50K, PIECES_32K, ["doc_id"])
+
+
 QUERIES = {
     "op1_extendible_hash_sharding": op1_extendible_hash_sharding,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -88,6 +94,7 @@ QUERIES = {
     "op8_sentencepiece_codec": op8_sentencepiece_codec,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii_sanitisation": op10_pii_sanitisation,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
 }
 ORACLE: dict[str, str] = {
     "op1_extendible_hash_sharding": f"""
