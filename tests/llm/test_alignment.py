@@ -125,10 +125,10 @@ def test_empty_table(spark):
     assert found.count() == 0 and found.columns[:2] == ["doc_id", "k0"]
 
 
-def test_invalid_bytes_have_no_tokens(spark):
-    bad = spark.sql("select 1L as doc_id, cast(x'61ff62' as string) as text union all select 2L, 'fine'")
-    rows = {r["doc_id"]: r for r in L.alignment_counts(bad, BYTES_50K, PIECES_32K, ["doc_id"]).collect()}
-    assert rows[1]["n_a"] == 0 and rows[1]["groups_sha256"] == "" and rows[2]["n_a"] > 0
+def test_invalid_bytes_have_no_tokens():
+    found = L.aligner(BYTES_50K, PIECES_32K)
+    bad, good = L._documents(found, iter([b"a\xffb", b"fine"]), False)
+    assert bad[:3] == (0, 0, "") and not len(bad[3]) and good[0] > 0
 
 
 def test_whole_table_against_walk(spark, tables, libraries):
