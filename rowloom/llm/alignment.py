@@ -167,8 +167,11 @@ class Aligner:
         self.printed = [f"{i}{end}".encode() for end in ",|;" for i in range(self.tokens)]
 
     def chunks(self, body: bytes) -> list[str]:
-        """A text in chunks that both tokenizers encode on their own, each without the space before it."""
-        text = body.decode("utf-8", "replace")
+        """A text in chunks that both tokenizers encode on their own, each without the space before it; none of invalid bytes."""
+        try:
+            text = body.decode()
+        except UnicodeDecodeError:
+            return []
         out, at = [], 0
         while len(text) - at > CHUNK and (cut := CUT.search(text, at + CHUNK)):
             out.append(text[at : cut.start()])

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from rowloom.llm.alignment import alignment_counts
 from rowloom.llm.common import documents
+from rowloom.llm.decontaminate import affected, n_hit
 from rowloom.llm.languages import held_out_languages
+from rowloom.llm.middle import fill_in_middle, restored
 from rowloom.llm.packing import packed
 from rowloom.llm.pieces import piece_digests
 from rowloom.llm.quality import BASE, quality_rules
@@ -83,6 +85,26 @@ def op11_cross_tokenizer_alignment(spark, folder):
     return alignment_counts(documents(spark, folder), BYTES_50K, PIECES_32K, ["doc_id"])
 
 
+def op12_benchmark_decontamination(spark, folder):
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = affected(documents(spark, folder), benchmark, ["doc_id"], window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit(F.col("spans")).alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+def op13_fill_in_middle(spark, folder):
+    found = fill_in_middle(documents(spark, folder), "doc_id", ["doc_id"], seed=42, share=50, suffix_first=80)
+    back = restored(F.col("output"), F.col("form"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES = {
     "op1_extendible_hash_sharding": op1_extendible_hash_sharding,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -95,6 +117,8 @@ QUERIES = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_pii_sanitisation": op10_pii_sanitisation,
     "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_benchmark_decontamination": op12_benchmark_decontamination,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLE: dict[str, str] = {
     "op1_extendible_hash_sharding": f"""
@@ -112,4 +136,47 @@ ORACLE: dict[str, str] = {
     SELECT doc_id, n_bytes, prefix AS shard, d::INTEGER AS depth, shard_bytes, shard_rows
     FROM fits QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d) = 1
     """,
+    "op12_benchmark_decontamination": r"""
+    WITH parts AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    items AS (
+      SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    sized AS (SELECT item_id, w, least(10, len(w)) AS k FROM items WHERE len(w) > 0),
+    windows AS (
+      SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS s
+      FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM sized)),
+    places AS (
+      SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS s
+      FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p
+            FROM parts, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)),
+    found AS (SELECT doc_id, k, p, s FROM places SEMI JOIN windows USING (k, s)),
+    hit AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS place FROM found) GROUP BY doc_id),
+    named AS (
+      SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS all_items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found JOIN windows USING (k, s)) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(named.n, 0)::BIGINT AS n_items,
+           sha256(coalesce(all_items, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+    FROM parts LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
+    "op13_fill_in_middle": r"""
+    WITH parts AS (
+      SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id::VARCHAR) AS h,
+             regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+    drawn AS (
+      SELECT *, len(w) AS n, ('0x' || h[1:8])::UBIGINT % (len(w) + 1)::UBIGINT AS r1, ('0x' || h[9:16])::UBIGINT % (len(w) + 1)::UBIGINT AS r2,
+             ('0x' || h[17:24])::UBIGINT % 100 AS h3, ('0x' || h[25:32])::UBIGINT % 100 AS h4 FROM parts),
+    cut AS (
+      SELECT *, array_to_string(w[1:least(r1, r2)], '') AS p, array_to_string(w[least(r1, r2) + 1:greatest(r1, r2)], '') AS m,
+             array_to_string(w[greatest(r1, r2) + 1:], '') AS s,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 50 THEN 'plain'
+                  WHEN h4 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM cut
+    """,
 }
