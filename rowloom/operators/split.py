@@ -26,8 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.functions.content import need_columns
+from rowloom.functions.rows import JSON_OF_ROWS, row_fingerprint, row_text
 from rowloom.functions.text import quoted
+from rowloom.operators.joins import lookup_join
 from rowloom.operators.labels import UnknownLabelsError
+from rowloom.session import checkpointed
 
 FIRST_DIGITS = 3  # 4,096 buckets per class in the first histogram
 GUESSED_DIGITS = 6  # resolution of the first histogram where a cut is expected
@@ -37,28 +40,17 @@ ALL_DIGITS = 32
 EXACT_ROWS = 1_000_000  # a bucket up to this size is resolved digest by digest
 COPIES_PER_TASK_ROW = 100_000
 
-_JSON = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
-
-
 # --- digests ----------------------------------------------------------------
 
 def _key_part(df: DataFrame, name: str) -> Column:
     dtype, c = df.schema[name].dataType, quoted(name)
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
-        c = F.to_json(c, _JSON)
+        c = F.to_json(c, JSON_OF_ROWS)
     elif isinstance(dtype, T.BinaryType):
         c = F.hex(c)
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-def row_text(df: DataFrame) -> Column:
-    """The whole row as text; equal texts mean equal rows."""
-    return F.to_json(F.struct(*(quoted(n) for n in df.columns)), _JSON)
-
-
 def row_digest(df: DataFrame, seed: int, key: list[str] | None) -> Column:
     """``md5("seed:key:key…")`` as 32 hex digits; without a key the whole row is the key."""
     if key is None:
@@ -298,26 +290,13 @@ def _group_number(cls: Column, digest: Column, groups: list[tuple]) -> Column:
     return number
 
 
-def _fingerprint(df: DataFrame, salt: int) -> Column:
-    """A 64-bit hash of the whole row, nulls and their places included."""
-    parts = [F.lit(salt)]
-    for f in df.schema:
-        c = quoted(f.name)
-        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            c = F.to_json(c, _JSON)
-        elif isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            c = c.cast("string")
-        parts += [c.isNull(), c]
-    return F.xxhash64(*parts)
-
-
 def _groups_of_copies(df: DataFrame, cls: Column, digest: Column, tied: list[_Cut]) -> set[tuple]:
     """Those of the cuts' groups whose rows are all the same, told by two hashes of the row."""
     groups = list(dict.fromkeys((c.cls, c.prefix) for c in tied))
     number = _group_number(cls, digest, groups)
     spread = []
     for salt in (1, 2):
-        h = _fingerprint(df, salt)
+        h = row_fingerprint(df, salt)
         spread.append(F.min(h) == F.max(h))
     found = (
         df.where(number.isNotNull())
@@ -382,11 +361,14 @@ def _written_out(
         *(F.struct(F.lit(name).alias("part"), F.lit(n).cast("bigint").alias("n")) for name, n in shares)
     )
     rows = one.select("__row", F.inline(each))
-    return copies_of(rows, "n").select("__row.*", F.col("part").alias(out))
+    return copies_of(rows, "n", ["part"]).select("__row.*", F.col("part").alias(out))
+
 
+def copies_of(rows: DataFrame, count: str, by: list[str]) -> DataFrame:
+    """Each row ``count`` times, numbered from zero in ``__copy``, a large count shared out over tasks.
 
-def copies_of(rows: DataFrame, count: str) -> DataFrame:
-    """Each row ``count`` times, numbered from zero in ``__copy``, a large count shared out over tasks."""
+    ``by`` names columns that tell the rows apart: pieces are dealt by them and by their place.
+    """
     size = F.lit(COPIES_PER_TASK_ROW).cast("bigint")
     pieces = rows.withColumn(
         "__first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1, size))
@@ -395,7 +377,7 @@ def copies_of(rows: DataFrame, count: str) -> DataFrame:
     # A number of its own, or adaptive execution would join the small pieces to one task again.
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
     return (
-        pieces.repartition(tasks, "__first")
+        pieces.repartition(tasks, *by, "__first")
         .withColumn("__copy", F.explode(F.sequence("__first", last)))
         .drop("__first")
     )
@@ -494,13 +476,23 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42, key: list[str] | None = N
 def shuffle_rows(df: DataFrame, seed: int = 42, key: list[str] | None = None) -> DataFrame:
     """All rows in a seeded random order, which does not depend on the partitions.
 
-    One rule for all rows: copies of one row are counted and written out again
-    with a number each. The first takes the place of its key's digest, each other
-    a digest of its own, so copies are spread over the order and over tasks.
+    A row's place is the digest of its key, then a hash of the row. Rows that
+    occur once, told by a count of hashes, go straight into one sort by range.
+    Of copies the first takes that place and each other a digest of its own, so
+    they are spread over the order; they are written out again from one of them
+    by many tasks.
     """
-    groups = df.groupBy(row_digest(df, seed, key).alias("__h"), F.md5(row_text(df)).alias("__g")).agg(
-        F.any_value(F.struct(*(quoted(n) for n in df.columns))).alias("__row"), F.count(F.lit(1)).alias("__n")
-    )
-    again = F.md5(F.concat_ws(":", "__h", "__g", "__copy"))
-    placed = copies_of(groups, "__n").withColumn("__place", F.when(F.col("__copy") == 0, F.col("__h")).otherwise(again))
+    digest, whole = row_digest(df, seed, key), F.md5(row_text(df))
+    placed = df.select(F.struct(*(quoted(n) for n in df.columns)).alias("__row"), digest.alias("__place"), whole.alias("__g"))
+    counts = placed.groupBy("__place", "__g").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    counts = checkpointed(counts)
+    if not counts.isEmpty():
+        keys = ["__place", "__g"]
+        once = lookup_join(placed, counts.select(*keys), keys, "left_anti")
+        again = lookup_join(placed, counts.select(*keys), keys, "left_semi")
+        groups = again.groupBy(*keys).agg(F.any_value("__row").alias("__row"))
+        copies = copies_of(groups.join(counts, keys), "__n", keys)
+        moved = F.md5(F.concat_ws(":", "__place", "__g", "__copy"))
+        copies = copies.withColumn("__place", F.when(F.col("__copy") == 0, F.col("__place")).otherwise(moved))
+        placed = once.unionByName(copies.select("__row", *keys))
     return placed.orderBy("__place", "__g").select("__row.*")

@@ -13,7 +13,7 @@ from pyspark.sql.window import WindowSpec
 
 from rowloom.functions.content import need_columns
 from rowloom.functions.text import quoted
-from rowloom.operators.split import row_text
+from rowloom.functions.rows import row_text
 from rowloom.session import checkpointed
 from rowloom.sources.files import load_table, resolve_format
 from rowloom.sources.workbook import read_workbooks

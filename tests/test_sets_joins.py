@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowloom.operators import joins
-from rowloom.operators.joins import hot_hashes, lookup_join
+from rowloom.operators.joins import hot_keys, lookup_join
 from rowloom.operators.sets import complement, union_parts
 
 
@@ -12,6 +12,7 @@ from rowloom.operators.sets import complement, union_parts
 def way(request, monkeypatch):
     if request.param == "salted":
         monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+        monkeypatch.setattr(joins, "LEAST_HOT", 20)
     return request.param
 
 
@@ -36,12 +37,35 @@ def test_lookup_join_equals_a_plain_join(spark, way, how):
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
 
 
-def test_hot_keys_are_spread(spark, monkeypatch, capsys):
+def test_hot_keys_are_counted(spark):
+    """Half of the rows, and 0.9 % of them: as many parts as the target asks for; no other key is listed."""
+    df = spark.range(100_000, numPartitions=5).select(
+        F.when(F.col("id") % 2 == 0, F.lit(-1)).when(F.col("id") % 111 == 1, F.lit(-2)).otherwise(F.col("id")).alias("k")
+    )
+    counts = Counter(r.k for r in df.collect())
+    assert {r.k: r["__parts"] for r in hot_keys(df, ["k"], least=100).collect()} == {
+        k: -(-n // 100) for k, n in counts.items() if n > 100
+    }
+    assert hot_keys(df, ["k"], share=0.2, least=1).collect()[0]["__parts"] == 3
+
+
+def test_no_task_joins_more_than_its_share(spark, monkeypatch):
     monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    assert spark.sql("select xxhash64(7L)").first()[0] in hot_hashes(skewed(spark), ["k"])
-    right = spark.range(50).select(F.col("id").alias("k"))
-    lookup_join(skewed(spark), right, ["k"], "left_anti").explain()
-    assert "SPARK_PARTITION_ID" in capsys.readouterr().out
+    left = spark.range(60_000, numPartitions=6).select(
+        F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), (F.col("id") % 3).alias("v")
+    )
+    right = left.select("k").distinct()
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        tasks = lookup_join(left, right, ["k"], "left_semi", least=500).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    sizes = [r["count"] for r in tasks]
+    assert sum(sizes) == 60_000 and max(sizes) < 3 * 60_000 / 32
 
 
 def test_key_types_have_to_agree(spark):

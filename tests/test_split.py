@@ -200,3 +200,19 @@ def test_one_order_for_any_partitions(spark):
 def test_labels_have_to_be_truth_values(spark):
     with pytest.raises(ValueError, match="truth values"):
         split_by_ratio(spark.range(9).selectExpr("id", "id % 3 c"), "c")
+
+
+@pytest.mark.parametrize("kind", ["once", "paired", "hot"])
+def test_shuffle_gives_every_task_its_share(spark, kind):
+    value = {"once": F.col("id"), "paired": F.floor(F.col("id") / 2), "hot": F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))}
+    df = spark.range(200_000, numPartitions=8).select(value[kind].cast("bigint").alias("v"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sizes = [r["count"] for r in shuffle_rows(df, 3, ["v"]).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 200_000 and len(sizes) == 16 and max(sizes) < 2 * 200_000 / 16
