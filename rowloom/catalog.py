@@ -79,7 +79,19 @@ def csv_scan_typed(spark, folder):
 def json_lines_scan(spark, folder):
     path = scratch(spark, "documents.jsonl")
     write_table(table(spark, folder, "documents"), path)
-    return load_table(spark, path).select("doc_id", "text", "lang", "source", "n_chars")
+    return load_table(spark, path)
+
+
+def json_lines_layout(spark, folder):
+    """Keys in their own order, prices that are whole in some lines only."""
+    path = scratch(spark, "part.jsonl")
+    price = F.when(F.col("p_size") % 2 == 0, F.col("p_retailprice").cast("string")).otherwise(F.col("p_size").cast("string"))
+    fields = [F.concat(F.lit(f'"{n}":'), F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2))
+              for n, c in (("size", F.col("p_size")), ("name", F.col("p_name")), ("Key", F.col("p_partkey")))]
+    text = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit(',"price":'), price, F.lit("}"))
+    table(spark, folder, "part").select(text).write.text(path)
+    rows = load_table(spark, path)
+    return rows.select(F.col("Key").alias("p_partkey"), key_value_text(rows).alias("content"))
 
 
 def csv_sink(spark, folder):
@@ -441,6 +453,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s1_csv_scan": csv_scan,
     "s1_csv_scan_typed": csv_scan_typed,
     "s2_json_lines_scan": json_lines_scan,
+    "s2_json_lines_layout": json_lines_layout,
     "k1_csv_sink": csv_sink,
     "k2_split_sink": split_sink,
     "k2_named_split_sink": named_split_sink,

@@ -14,6 +14,9 @@ ORACLE: dict[str, str] = {
     "s1_csv_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "s1_csv_scan_typed": """
 SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailprice FROM part""",
+    "s2_json_lines_layout": """
+        SELECT p_partkey, 'size: ' || p_size || chr(10) || 'name: ' || p_name || chr(10) || 'Key: ' || p_partkey || chr(10) || 'price: '
+               || CASE WHEN p_size % 2 = 0 THEN p_retailprice::VARCHAR ELSE p_size::VARCHAR END AS content FROM part""",
     "s2_json_lines_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "k1_csv_sink": """
 SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, o_orderstatus,

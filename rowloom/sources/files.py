@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.functions.text import py_trim, quoted
+from rowloom.operators.joins import lookup_join
+from rowloom.session import checkpointed
+from rowloom.sources.json_keys import key_columns, number_texts
+from rowloom.sources.records import first_lines, records, text_lines
 from rowloom.sources.typing import cast_columns, decided_types, missing_to_null, trimmed_names
 from rowloom.sources.workbook import read_workbooks
 
@@ -22,6 +28,9 @@ FORMAT_OF_SUFFIX = {
 }
 FORMATS = sorted(set(FORMAT_OF_SUFFIX.values()))
 
+#: Header lines that differ, if only in white space, at most.
+HEADERS = 100
+
 _SURPLUS = "__surplus"
 _CSV = {"quote": '"', "escape": '"'}
 
@@ -57,11 +66,22 @@ def load_table(
     return reader.parquet(path)
 
 
-def _quoted_newlines(spark: SparkSession, path: str) -> bool:
-    """Does any line leave a quote open? Only then has a file to be read in one piece."""
-    text = F.col("value")
-    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+def _header(heads: DataFrame, path: str) -> list[str]:
+    """The one header that all files have; ``heads`` is a row for each file."""
+    fields: dict[tuple[str, ...], str] = {}
+    plain = F.rtrim(F.regexp_replace("head", "^\ufeff", ""), F.lit("\r"))
+    spelt = heads.groupBy(plain.alias("head")).agg(F.min("file").alias("file")).orderBy("file").limit(HEADERS + 1).collect()
+    if len(spelt) > HEADERS:
+        raise ValueError(f"more than {HEADERS} different header lines under {path!r}")
+    for row in spelt:
+        found = next(csv.reader(io.StringIO(row["head"], newline="")), [])
+        fields.setdefault(tuple(n.strip() for n in found), row["file"])
+    if not fields:
+        raise ValueError(f"{path!r} has no header line")
+    if len(fields) > 1:
+        (a, one), (b, other) = fields.items()
+        raise ValueError(f"files with different headers: {list(a)} in {one}, {list(b)} in {other}")
+    return trimmed_names([n or f"Unnamed: {i}" for i, n in enumerate(next(iter(fields)))])
 
 
 def read_csv(
@@ -69,38 +89,51 @@ def read_csv(
     path: str,
     schema: T.StructType | None = None,
     multi_line: bool | None = None,
+    place: tuple[str, str, str] | None = None,
 ) -> DataFrame:
     """A CSV table with a header line; names trimmed, missing-value words null, types decided.
 
-    ``multi_line`` is looked up in the files by default, so that files without
-    line breaks inside quotes are split over tasks. Every file of a folder has to
-    have the same header, and no line more fields than that: both fail the query.
-    With a schema nothing is scanned beforehand except for the line breaks, and
-    columns are matched by position.
+    One scan of the lines tells whether a quote may stay open over a line break
+    (``multi_line`` answers that beforehand) and gives the header of every file;
+    they have to be the same. Without such quotes Spark's reader takes the files
+    apart; with them records are found by ``rowloom.sources.records``. Either way
+    large files are split over tasks. Lines with more fields than the header fail the
+    query, fewer leave nulls. With a schema, which names as many columns as the header has,
+    columns are matched by position; without one a second scan decides types.
+    ``place`` names columns for file, range and number of a record; it is added
+    only where quotes stay open.
     """
+    heads = checkpointed(first_lines(text_lines(spark, path)))
     if multi_line is None:
-        multi_line = _quoted_newlines(spark, path)
-    reader = spark.read.options(**_CSV).option("multiLine", multi_line)
-    if schema is None:
-        head = reader.option("header", False).csv(path).head()
-        if head is None:
-            raise ValueError(f"{path!r} has no header line")
-        found = [f"Unnamed: {i}" if n is None else n for i, n in enumerate(head)]
-        names = trimmed_names(found)
-    else:
+        multi_line = not heads.where("open").isEmpty()
+    if multi_line:
+        found = records(spark, path).where(F.trim("text", F.lit(" \t\r")) != "")
+        first = F.min_by(F.struct("block", "nth", "text"), F.struct("block", "nth")).alias("r")
+        heads = checkpointed(found.groupBy("file").agg(first).select("file", "r.block", "r.nth", F.col("r.text").alias("head")))
+    names = _header(heads, path)
+    if schema is not None:
+        if len(schema) != len(names):
+            raise ValueError(f"the schema has {len(schema)} columns, the header of {path!r} has {len(names)}")
         names = schema.names
-    reader = reader.option("header", True)
-    if schema is None:
-        # Spark compares the header of every file with these names, but cannot where one is empty.
-        checked = reader.option("enforceSchema", None in head).schema(_text_columns(found)).csv(path).toDF(*names)
-        types = decided_types(checked.select(*(missing_to_null(quoted(n)).alias(n) for n in names)), names)
+    wanted = _text_columns([*names, _SURPLUS])
+    if multi_line:
+        body = lookup_join(found, heads.select("file", "block", "nth"), ["file", "block", "nth"], "left_anti")
+        parsed = _from_csv(wanted)
+        placed = [F.col(c).alias(p) for c, p in zip(("file", "block", "nth"), place or ())]
+        table = body.select(*placed, parsed.alias("r")).select(*(p for p in place or ()), "r.*")
     else:
-        types = {f.name: f.dataType for f in schema}
-    table = reader.option("enforceSchema", True).schema(_text_columns([*names, _SURPLUS])).csv(path)
+        table = spark.read.options(**_CSV).option("header", True).option("enforceSchema", True).schema(wanted).csv(path)
     message = F.concat(F.lit("a line has more fields than the header; the first is "), F.col(_SURPLUS))
     fits = F.when(F.col(_SURPLUS).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-    table = table.where(fits).select(*(missing_to_null(quoted(n)).alias(n) for n in names))
-    return cast_columns(table, types)
+    extra = {p: table.schema[p].dataType for p in place or () if multi_line}
+    table = table.where(fits).select(*(missing_to_null(quoted(n)).alias(n) for n in names), *extra)
+    types = decided_types(table, names) if schema is None else {f.name: f.dataType for f in schema}
+    return cast_columns(table, types | extra)
+
+
+def _from_csv(wanted: T.StructType) -> Column:
+    ddl = ", ".join("`{}` string".format(f.name.replace("`", "``")) for f in wanted)
+    return F.from_csv(F.rtrim("text", F.lit("\r")), ddl, _CSV)
 
 
 def _text_columns(names: list[str]) -> T.StructType:
@@ -110,14 +143,19 @@ def _text_columns(names: list[str]) -> T.StructType:
 def read_json_lines(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """One JSON object per line, blank lines left out; any other line fails the query, quoting it."""
-    bad = "__unparsed"
+    """One JSON object per line, blank lines left out; any other line fails the query, quoting it.
+
+    Without a schema the columns are all keys, in the order of their first
+    place in the files. Numbers that are whole in some lines only, or too long
+    for 64 bits, stay texts as Python prints them; of a key that a line repeats
+    the last value counts.
+    """
+    mixed: list[str] = []
     if schema is None:
-        inferred = spark.read.option("columnNameOfCorruptRecord", bad).json(path).schema
-        schema = T.StructType([f for f in inferred if f.name != bad])
+        schema, mixed = key_columns(spark, path)
     if not schema.fields:
         raise ValueError(f"{path!r} holds no JSON objects")
-    return parsed_lines(spark.read.text(path), schema, bad)
+    return number_texts(parsed_lines(spark.read.text(path), schema), mixed)
 
 
 def parsed_lines(texts: DataFrame, schema: T.StructType, bad: str = "__unparsed") -> DataFrame:

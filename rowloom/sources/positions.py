@@ -15,12 +15,13 @@ from rowloom.functions.content import need_columns
 from rowloom.functions.text import quoted
 from rowloom.functions.rows import row_text
 from rowloom.session import checkpointed
-from rowloom.sources.files import load_table, resolve_format
+from rowloom.sources.files import load_table, read_csv, resolve_format
 from rowloom.sources.workbook import read_workbooks
 
 # Up to this position a top-k per task is the cheapest way.
 TOP_K = 10_000
 _ROW_NO = "__row_no"
+_PLACE = ("__file", "__block", "__nth")
 
 
 def _need_position(index: int) -> None:
@@ -128,6 +129,10 @@ def load_row(
     if kind == "xlsx":
         rows = read_workbooks(spark, path, sheet, row_no=_ROW_NO)
         found = row_at(rows, index, [_ROW_NO]).drop(_ROW_NO)
+    elif kind == "csv":
+        rows = read_csv(spark, path, place=_PLACE)
+        placed = _PLACE[0] in rows.columns
+        found = row_at(rows, index, list(_PLACE)).drop(*_PLACE) if placed else file_row_at(rows, index)
     else:
         found = file_row_at(load_table(spark, path, kind), index)
     return found.first().asDict(recursive=True)
