@@ -27,9 +27,10 @@ from rowloom.operators.vocab import (
 )
 from rowloom.plans.dataset_split import train_test_split
 from rowloom.plans.text_runs import generation_results, prompt_rows
-from rowloom.session import shared_dir
-from rowloom.sources.files import load_table
+from rowloom.session import checkpointed, shared_dir
+from rowloom.sources.files import load_table, token_entries
 from rowloom.sources.positions import file_row_at, row_at
+from rowloom.sources.workbook import read_workbooks, workbook_contents
 from rowloom.sources.writers import columns_as_text, write_split, write_table, write_train_test
 
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -94,6 +95,24 @@ def json_lines_layout(spark, folder):
     return rows.select(F.col("Key").alias("p_partkey"), key_value_text(rows).alias("content"))
 
 
+def workbook_scan(spark, folder):
+    """The table as workbooks, made by tasks, and read again."""
+    books = checkpointed(workbook_contents(table(spark, folder, "part").repartition(3), rows_per_book=100_000))
+    return read_workbooks(spark, books)
+
+
+def token_templates(spark, folder):
+    """Each conversation as a JSON object in which roles repeat, taken apart again."""
+    def text(c):
+        listed = F.to_json(F.array(c))
+        return listed.substr(F.lit(2), F.length(listed) - 2)
+
+    entry = F.struct("turn", F.concat(text("role"), F.lit(":"), text("text")).alias("e"))
+    turns = table(spark, folder, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(entry)).alias("all"))
+    texts = turns.select("conv_id", F.concat(F.lit("{"), F.array_join("all.e", ","), F.lit("}")).alias("object"))
+    return token_entries(texts, "object", ["conv_id"])
+
+
 def csv_sink(spark, folder):
     path = scratch(spark, "orders.csv")
     write_table(table(spark, folder, "orders"), path)
@@ -454,6 +473,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "s1_csv_scan_typed": csv_scan_typed,
     "s2_json_lines_scan": json_lines_scan,
     "s2_json_lines_layout": json_lines_layout,
+    "s3_workbook_scan": workbook_scan,
+    "s6_token_template": token_templates,
     "k1_csv_sink": csv_sink,
     "k2_split_sink": split_sink,
     "k2_named_split_sink": named_split_sink,

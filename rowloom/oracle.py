@@ -17,6 +17,10 @@ SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailpri
     "s2_json_lines_layout": """
         SELECT p_partkey, 'size: ' || p_size || chr(10) || 'name: ' || p_name || chr(10) || 'Key: ' || p_partkey || chr(10) || 'price: '
                || CASE WHEN p_size % 2 = 0 THEN p_retailprice::VARCHAR ELSE p_size::VARCHAR END AS content FROM part""",
+    "s3_workbook_scan": "SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailprice FROM part",
+    "s6_token_template": """
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY min(turn)) - 1 AS pos, role AS name,
+               arg_max(text, turn) AS token FROM conversations GROUP BY conv_id, role""",
     "s2_json_lines_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "k1_csv_sink": """
 SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, o_orderstatus,

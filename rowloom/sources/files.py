@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import csv
 import io
+import json
 from pathlib import PurePosixPath
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -175,12 +177,36 @@ def parsed_lines(texts: DataFrame, schema: T.StructType, bad: str = "__unparsed"
     )
 
 
+def token_entries(texts: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep``, pos, name and token of every entry of the JSON objects in a column, in the order of the text.
+
+    A name that an object repeats stands at its first place with its last value.
+    Values that are no texts are given as JSON; null texts have no entries, and
+    any other text that is no object fails the query.
+    """
+    names = [f"k{i}" for i in range(len(keep))]
+    read = texts.select(*(quoted(c).alias(n) for c, n in zip(keep, names)), quoted(text).cast("string").alias("t"))
+
+    def work(batches):
+        for batch in batches:
+            rows = []
+            for i, body in enumerate(batch.column(len(names)).to_pylist()):
+                entries = {} if body is None else json.loads(body)
+                if not isinstance(entries, dict):
+                    raise ValueError(f"not a JSON object: {body[:200]}")
+                for pos, (name, value) in enumerate(entries.items()):
+                    printed = value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+                    rows.append((i, pos, name, printed))
+            at, *found = (list(x) for x in zip(*rows)) if rows else ([], [], [], [])
+            own = [batch.column(k).take(pa.array(at, pa.int64())) for k in range(len(names))]
+            made = [pa.array(v, t) for v, t in zip(found, (pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*own, *made], names=[*names, "pos", "name", "token"])
+
+    kinds = "".join(f"{n} {texts.schema[c].dataType.simpleString()}, " for c, n in zip(keep, names))
+    out = read.mapInArrow(work, kinds + "pos bigint, name string, token string")
+    return out.select(*(F.col(n).alias(c) for c, n in zip(keep, names)), "pos", "name", "token")
+
+
 def read_token_template(spark: SparkSession, path: str) -> DataFrame:
     """``(pos, name, token)`` from a JSON object of names and tokens, in file order."""
-    whole = spark.read.text(path, wholetext=True)
-    entries = F.map_entries(F.from_json("value", "map<string,string>"))
-    return whole.select(F.posexplode(entries).alias("pos", "entry")).select(
-        F.col("pos").cast("bigint").alias("pos"),
-        F.col("entry.key").alias("name"),
-        F.col("entry.value").alias("token"),
-    )
+    return token_entries(spark.read.text(path, wholetext=True), "value", [])

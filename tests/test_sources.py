@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import types as T
 
 from rowloom.sources.files import (
-    load_table, read_csv, read_json_lines, read_token_template, resolve_format,
+    load_table, read_csv, read_json_lines, read_token_template, resolve_format, token_entries,
 )
 from rowloom.sources.typing import MISSING_WORDS, trim_header
+from rowloom.sources.workbook import read_workbooks, sheet_place, workbook_contents
 from rowloom.sources.writers import (
     columns_as_text, part_path, split_paths, write_split, write_table, write_train_test,
 )
@@ -119,6 +120,15 @@ def test_token_template(spark, tmp_path):
     assert got == [(0, "z", "<Z>"), (1, "a", "<A>"), (2, "m", "<Z>")]
 
 
+def test_token_entries_repeats_and_odd_values(spark):
+    texts = ['{"b": "<B>", "a": 1.5, "b": "<C>", "n": null, "o": {"x": [1]}}', None, "{}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "name int, t string")
+    got = [tuple(r) for r in token_entries(df, "t", ["name"]).collect()]
+    assert got == [(0, 0, "b", "<C>"), (0, 1, "a", "1.5"), (0, 2, "n", None), (0, 3, "o", '{"x": [1]}')]
+    with pytest.raises(Exception, match="not a JSON object"):
+        token_entries(spark.sql("select '[1]' t"), "t", []).collect()
+
+
 # --- workbooks --------------------------------------------------------------
 
 def column(i):
@@ -264,3 +274,37 @@ def test_files_of_a_folder_that_do_not_fit_together(spark, tmp_path):
     spark.range(1).write.parquet(str(tmp_path / "p" / "k=1"))
     spark.range(1).selectExpr("id", "'v' more").write.parquet(str(tmp_path / "p" / "k=2"))
     assert set(load_table(spark, str(tmp_path / "p"), "parquet").columns) == {"id", "more", "k"}
+
+
+def test_workbooks_written_and_read_again(spark):
+    rows = [
+        (1, 0.5, True, " padded <&> \r\n\t", "7", [1]), (2**62, 1e300, None, None, "é日👩", None), (-3, 2.0, False, "x" * 40_000, "0.1", [2, 3]),
+    ] * 5
+    df = spark.createDataFrame(rows, "i bigint, x double, b boolean, s string, t string, l array<int>").repartition(2)
+    books = workbook_contents(df, "It's <1>", rows_per_book=4)
+    found = read_workbooks(spark, books, "It's <1>")
+    assert books.count() >= 4 and found.dtypes == [
+        ("i", "bigint"), ("x", "double"), ("b", "boolean"), ("s", "string"), ("t", "string"), ("l", "string"),
+    ]
+    want = [(*r[:5], None if r[5] is None else str(r[5]).replace(" ", "")) for r in rows]
+    assert sorted(map(repr, values(found))) == sorted(map(repr, want))
+    with pytest.raises(Exception, match="control character"):
+        workbook_contents(spark.sql("select '\\u0001' s")).collect()
+    with pytest.raises(ValueError):
+        workbook_contents(df, rows_per_book=0)
+
+
+def test_written_workbooks_are_unpacked_once(spark, monkeypatch):
+    from rowloom.sources import workbook
+
+    seen = []
+    monkeypatch.setattr(workbook, "checkpointed", lambda df: seen.append(df) or df.cache())
+    assert read_workbooks(spark, workbook_contents(spark.range(3).toDF("a"))).count() == 3 and len(seen) == 1
+
+
+def test_sheet_place():
+    names = ["a", "2", "b"]
+    assert [sheet_place(names, x) for x in (None, 0, "1", "b", 2)] == [0, 0, 1, 2, 2]
+    for bad in (3, "3", "c", -1, "²"):
+        with pytest.raises(ValueError, match="no sheet"):
+            sheet_place(names, bad)
