@@ -29,7 +29,7 @@ from rowloom.plans.dataset_split import train_test_split
 from rowloom.plans.text_runs import generation_results, prompt_rows
 from rowloom.session import checkpointed, shared_dir
 from rowloom.sources.files import load_table, token_entries
-from rowloom.sources.positions import file_row_at, row_at
+from rowloom.sources.positions import file_row_at, row_at, rows_at
 from rowloom.sources.workbook import read_workbooks, workbook_contents
 from rowloom.sources.writers import columns_as_text, write_split, write_table, write_train_test
 
@@ -151,6 +151,17 @@ def row_at_file_position(spark, folder):
     return file_row_at(table(spark, folder, "orders"), 7).select("o_orderkey", "o_custkey")
 
 
+def rows_at_positions(spark, folder):
+    """Five hundred positions of a table, and of the same table as lines of text."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    path = scratch(spark, "orders.csv")
+    write_table(orders.orderBy("o_orderkey").coalesce(1), path)
+    kinds = "o_orderkey bigint, o_custkey bigint"
+    lines = spark.read.schema(kinds).option("header", True).csv(path)
+    asked = list(range(0, 1500, 3))
+    return union_parts([rows_at(t, asked).withColumn("kind", F.lit(k)) for t, k in ((orders, "rows"), (lines, "lines"))])
+
+
 def cast_string(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
     return columns_as_text(orders, ["o_orderkey", "o_totalprice", "not_there"])
@@ -480,6 +491,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "k2_named_split_sink": named_split_sink,
     "p1_row_at": row_at_position,
     "p1_row_at_file_position": row_at_file_position,
+    "p1_rows_at_positions": rows_at_positions,
     "p3_cast_string": cast_string,
     "p4_label_int": label_int,
     "p4_label_string": label_string,

@@ -17,6 +17,12 @@ SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailpri
     "s2_json_lines_layout": """
         SELECT p_partkey, 'size: ' || p_size || chr(10) || 'name: ' || p_name || chr(10) || 'Key: ' || p_partkey || chr(10) || 'price: '
                || CASE WHEN p_size % 2 = 0 THEN p_retailprice::VARCHAR ELSE p_size::VARCHAR END AS content FROM part""",
+    "p1_rows_at_positions": """
+        WITH numbered AS (
+          SELECT o_orderkey, o_custkey, row_number() OVER () - 1 AS position, 'rows' AS kind FROM orders
+          UNION ALL
+          SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) - 1, 'lines' FROM orders)
+        SELECT o_orderkey, o_custkey, position, kind FROM numbered WHERE position < 1500 AND position % 3 = 0""",
     "s3_workbook_scan": "SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailprice FROM part",
     "s6_token_template": """
         SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY min(turn)) - 1 AS pos, role AS name,

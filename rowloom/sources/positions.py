@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 from rowloom.functions.content import need_columns
@@ -20,6 +25,8 @@ from rowloom.sources.workbook import read_workbooks
 
 # Up to this position a top-k per task is the cheapest way.
 TOP_K = 10_000
+# Characters of a row's text that order rows of one key.
+FRONT = 200
 _ROW_NO = "__row_no"
 _PLACE = ("__file", "__block", "__nth")
 
@@ -29,19 +36,15 @@ def _need_position(index: int) -> None:
         raise ValueError(f"a position has to be zero or more, not {index}")
 
 
-def _same_key(a: Row, b: Row) -> bool:
-    """Equal as Spark compares keys: NaN is equal to itself."""
-    return all(x == y or (x != x and y != y) for x, y in zip(a, b))
-
-
 def _key_at(keys: DataFrame, index: int) -> tuple[Row, int]:
     """The key at ``index`` in ascending order, and how many equal keys come before it."""
     columns = [quoted(c) for c in keys.columns]
     if index < TOP_K:
-        front = keys.orderBy(*columns).limit(index + 1).collect()  # at most TOP_K keys
-        if len(front) <= index:
-            raise ValueError(f"position {index} is out of range: there are {len(front)} rows")
-        return front[-1], sum(_same_key(k, front[-1]) for k in front) - 1
+        front = keys.orderBy(*columns)
+        found = front.offset(index).limit(1).first()
+        if found is None:
+            raise ValueError(f"position {index} is out of range: there are {keys.count()} rows")
+        return found, front.limit(index + 1).where(_is(keys.columns, found)).count() - 1
     counts = keys.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
     ranges = checkpointed(counts.repartitionByRange(*columns).sortWithinPartitions(*columns))
     ranges = ranges.withColumn("__range", F.spark_partition_id())
@@ -57,6 +60,11 @@ def _key_at(keys: DataFrame, index: int) -> tuple[Row, int]:
     return key, left - key["__before"]
 
 
+def _is(names: list[str], key: Row) -> Column:
+    """Rows with this key; null is equal to null, NaN to NaN."""
+    return reduce(and_, (quoted(c).eqNullSafe(F.lit(key[c])) for c in names))
+
+
 def _covering(counted: DataFrame, running: WindowSpec, index: int) -> Row | None:
     """The row of a counted table that position ``index`` falls into, with the count before it."""
     before = F.sum("__n").over(running) - F.col("__n")
@@ -73,39 +81,150 @@ def row_at(df: DataFrame, index: int, order: list[str]) -> DataFrame:
     Only the order columns are sorted: near the front by a top-k, further back
     by counting distinct keys, sorting those by range and adding up the ranges'
     sizes. Then the rows of the one key found are read. Rows of equal keys follow
-    each other by their whole text.
+    each other by the front of their text, then by its digest.
     """
     _need_position(index)
     need_columns(df, order, "order")
     key, among = _key_at(df.select(*(quoted(c) for c in order)), index)
-    ties = df.where(reduce(and_, (quoted(c).eqNullSafe(F.lit(key[c])) for c in order)))
-    text, _ = _key_at(ties.select(row_text(df).alias("text")), among)
-    return ties.where(row_text(df) == text["text"]).limit(1)
+    ties = df.where(_is(order, key))
+    front, digest = F.substring(row_text(df), 1, FRONT), F.md5(row_text(df))
+    found, _ = _key_at(ties.select(front.alias("front"), digest.alias("digest")), among)
+    return ties.where(digest == found["digest"]).limit(1)
 
 
-def file_row_at(df: DataFrame, index: int) -> DataFrame:
-    """The row at ``index`` of a table read from files, in the order of files and their lines.
+# --- positions in files -----------------------------------------------------
+
+#: With one partition asked for at least, where a scan cuts files depends on this size alone, not on what files it reads.
+_SPLIT = "spark.sql.files.maxPartitionBytes"
+_PARTITIONS = "spark.sql.files.minPartitionNum"
+
 
-    Rows are counted for each file. The one file that holds the position is read
-    again and kept with each row's piece and place in it, so that counting the
-    pieces and taking the row see the same pieces however a scan cuts the file.
+@contextmanager
+def _cut_alike(spark: SparkSession, size: str) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in (_SPLIT, _PARTITIONS)}
+    spark.conf.set(_SPLIT, size)
+    spark.conf.set(_PARTITIONS, "1")
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+@dataclass(frozen=True)
+class PositionIndex:
+    """Where the rows of a table's files are: ``file, block, first, n``, a row for each range that a scan reads.
+
+    ``split`` is the size at which files were cut. Of columnar files a range is the whole file.
     """
-    _need_position(index)
-    file = F.col("_metadata.file_path")
-    files = df.groupBy(file.alias("file")).agg(F.count(F.lit(1)).alias("__n"))
-    running = Window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    place = _covering(files, running.orderBy("file"), index)
-    if place is None:
-        raise ValueError(f"position {index} is out of range")
-    kept = checkpointed(
-        df.where(file == place["file"]).select(
-            "*", F.col("_metadata.file_block_start").alias("__at"), F.monotonically_increasing_id().alias("__id")
+
+    ranges: DataFrame
+    split: str
+    columnar: bool
+
+
+def position_index(df: DataFrame) -> PositionIndex:
+    """The stored index of a table read from files, made by one scan that counts rows."""
+    spark = df.sparkSession
+    columnar = "row_index" in df.select("_metadata").schema[0].dataType.names
+    block = F.lit(0).cast("bigint") if columnar else F.col("_metadata.file_block_start")
+    split = spark.conf.get(_SPLIT)
+    with _cut_alike(spark, split):
+        counts = checkpointed(
+            df.groupBy(F.col("_metadata.file_path").alias("file"), block.alias("block")).agg(F.count(F.lit(1)).alias("n"))
         )
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    files = counts.groupBy("file").agg(F.sum("n").alias("rows"))
+    # A row for each file in this window, for each range in the next.
+    starts = files.select("file", F.coalesce(F.sum("rows").over(before.orderBy("file")), F.lit(0)).alias("start"))
+    inside = F.coalesce(F.sum("n").over(before.partitionBy("file").orderBy("block")), F.lit(0))
+    first = (F.col("start") + F.col("inside")).alias("first")
+    ranges = counts.withColumn("inside", inside).join(starts, "file").select("file", "block", first, "n")
+    return PositionIndex(ranges, split, columnar)
+
+
+def _targets(index: PositionIndex, positions: list[int]) -> DataFrame:
+    """file, block, nth in the range, and position of every wanted row; nothing for positions past the end."""
+    spark = index.ranges.sparkSession
+    asked = spark.createDataFrame([(p,) for p in sorted(set(positions))], "at bigint").select("at", F.lit(None).alias("r"))
+    marks = index.ranges.where("n > 0").select(F.col("first").alias("at"), F.struct("file", "block", "first", "n").alias("r"))
+    # Ranges and positions in one order: a position is in the last range that starts at or before it.
+    upto = Window.orderBy("at", F.col("r").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    merged = marks.unionByName(asked.select("at", F.col("r").cast(marks.schema["r"].dataType).alias("r")))
+    placed = merged.withColumn("last", F.last("r", True).over(upto)).where("r is null and last is not null")
+    nth = F.col("at") - F.col("last.first")
+    return placed.where(nth < F.col("last.n")).select("last.file", "last.block", nth.alias("nth"), F.col("at").alias("position"))
+
+
+def _picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows counted within each range; those wanted, with their positions. The last columns: file, block, nths, positions."""
+    held, seen = None, 0
+    for batch in batches:
+        names, at = batch.schema.names, 0
+        file, block, nths, places = batch.columns[-4:]
+        while at < batch.num_rows:
+            key = file[at].as_py(), block[at].as_py()
+            same = pc.and_(pc.equal(file, key[0]), pc.equal(block, key[1]))
+            other = pc.index(same.slice(at), False).as_py()
+            end = batch.num_rows if other < 0 else at + other
+            seen = seen if key == held else 0
+            held = key
+            hits = [(at + n - seen, p) for n, p in zip(nths[at].as_py(), places[at].as_py()) if seen <= n < seen + end - at]
+            if hits:
+                rows, found = zip(*hits)
+                own = [c.take(pa.array(rows)) for c in batch.columns[:-4]]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(found, pa.int64())], names=[*names[:-4], "position"])
+            seen, at = seen + end - at, end
+
+
+def rows_at(df: DataFrame, positions: list[int], index: PositionIndex | None = None, position: str = "position") -> DataFrame:
+    """The rows at many positions of a table read from files, in the order of files and their lines, with their ``position``.
+
+    One scan counts (none, with an index at hand), one reads: only files that
+    hold a position are opened, and of them only the rows of the ranges that
+    hold one are looked at. Files must not have changed since. The caller's list
+    bounds the result, which is kept in the shared folder.
+    """
+    for p in positions:
+        _need_position(p)
+    spark, index = df.sparkSession, index or position_index(df)
+    places = _targets(index, positions).collect()  # no longer than the caller's own list
+    missing = len(set(positions)) - len(places)
+    if missing:
+        raise ValueError(f"{missing} of the positions are out of range: there are {index.ranges.agg(F.sum('n')).first()[0] or 0} rows")
+    targets = spark.createDataFrame(places, "file string, block bigint, nth bigint, position bigint")
+    files = sorted({r["file"] for r in places})
+    names = [f"c{i}" for i in range(len(df.columns))]
+    place = F.col("_metadata.row_index") if index.columnar else F.col("_metadata.file_block_start")
+    read = df.where(F.col("_metadata.file_path").isin(files)).select(
+        *(quoted(c).alias(n) for c, n in zip(df.columns, names)), F.col("_metadata.file_path").alias("file"), place.alias("at")
     )
-    pieces = kept.groupBy("__at").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
-    piece = _covering(pieces, running.orderBy("__at"), index - place["__before"])
-    wanted = piece["__first"] + index - place["__before"] - piece["__before"]
-    return kept.where(F.col("__id") == wanted).drop("__at", "__id")
+    if index.columnar:
+        wanted = targets.select("file", F.col("nth").alias("at"), "position")
+        found = read.join(F.broadcast(wanted), ["file", "at"]).select(*names, "position")
+    else:
+        by_block = targets.groupBy("file", F.col("block").alias("at")).agg(
+            F.array_sort(F.collect_list(F.struct("nth", "position"))).alias("z")
+        )
+        by_block = by_block.select("file", "at", F.col("z.nth").alias("nths"), F.col("z.position").alias("places"))
+        near = read.join(F.broadcast(by_block), ["file", "at"]).select(*names, "file", "at", "nths", "places")
+        kinds = T.StructType([*near.select(*names).schema, T.StructField("position", T.LongType())])
+        found = near.mapInArrow(_picked, kinds)
+    with _cut_alike(spark, index.split):
+        kept = checkpointed(found)
+    if kept.count() != len(set(positions)):
+        raise ValueError("the files are not those that the index was made of")
+    return kept.select(*(F.col(n).alias(c) for c, n in zip(df.columns, names)), F.col("position").alias(position))
+
+
+def file_row_at(df: DataFrame, index: int) -> DataFrame:
+    """The row at ``index`` of a table read from files, in the order of files and their lines."""
+    _need_position(index)
+    place = "__position"
+    return rows_at(df, [index], position=place).drop(place)
 
 
 def json_line_at(spark: SparkSession, path: str, index: int) -> dict:

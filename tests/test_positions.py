@@ -6,6 +6,7 @@ from tests.test_sources import workbook
 from rowloom.sources import positions
 from rowloom.sources.files import read_csv
 from rowloom.sources.positions import file_row_at, json_line_at, load_row, row_at
+from rowloom.sources.writers import write_table
 
 
 @pytest.fixture(params=[10_000, 0])
@@ -89,3 +90,35 @@ def test_positions_over_large_files(spark, tmp_path):
 def test_keys_that_are_not_numbers(spark, way):
     df = spark.sql("select id, if(id < 2, double(id), double('nan')) k from range(6)")
     assert sorted(row_at(df, i, ["k"]).first().id for i in range(6)) == list(range(6))
+
+
+@pytest.mark.parametrize("kind", ["csv", "jsonl", "parquet"])
+def test_a_thousand_positions_by_an_index(spark, tmp_path, kind):
+    """Files of several ranges each; the index answers for any list of positions."""
+    from rowloom.sources.positions import position_index, rows_at
+
+    path = str(tmp_path / f"t.{kind}")
+    rows = spark.range(9000).select("id", F.concat(F.lit("x" * 40), "id").alias("s"))
+    write_table(rows.repartition(3), path)
+    read = spark.read.schema("id bigint, s string")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        df = {"csv": read.option("header", True).csv, "jsonl": read.json, "parquet": read.parquet}[kind](path)
+        files = df.select("_metadata.file_path").distinct().orderBy("file_path").collect()
+        by_file = {f.file_path: [] for f in files}
+        for r in df.select("id", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("m")).orderBy(
+            "file_path", "file_block_start", "m"
+        ).collect():
+            by_file[r.file_path].append(r.id)
+        want = [i for ids in by_file.values() for i in ids]
+        index = position_index(df)
+        assert kind == "parquet" or index.ranges.count() > 3
+        for asked in (list(range(0, 9000, 9)), [8999], [0, 0, 4]):
+            got = {r.position: r.id for r in rows_at(df, asked, index).collect()}
+            assert got == {p: want[p] for p in asked}
+        with pytest.raises(ValueError, match="1 of the positions are out of range: there are 9000"):
+            rows_at(df, [3, 9000], index)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
