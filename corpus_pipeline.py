@@ -16,6 +16,9 @@ from rowloom.llm.repeats import without_repeats
 from rowloom.llm.sanitise import personal_spans, sanitised
 from rowloom.llm.simhash import first_of_components
 
+#: A string of so many bytes that occurs again is taken out; passages of 50 words are longer.
+REPEAT_BYTES = 200
+
 
 def _apart(docs):
     """``docs`` with columns renamed that no operator needs, so that none clashes, and the way back."""
@@ -46,7 +49,7 @@ def near_copy_stage(spark, docs, sf_dir):
 def repeats_stage(spark, docs, sf_dir):
     """Texts without the bytes of strings that occur again; documents left empty stay, with an empty text."""
     apart, back = _apart(docs)
-    rows = without_repeats(apart.withColumn("__old", F.col("text")), length=400, with_text=True)
+    rows = without_repeats(apart.withColumn("__old", F.col("text")), length=REPEAT_BYTES, with_text=True)
     rows = rows.withColumn("text", F.coalesce("__left", "__old"))
     return _changed(docs, back(rows), F.col("text"))
 
