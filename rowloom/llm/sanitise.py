@@ -15,6 +15,8 @@ above ``remove`` go. ``support`` texts that differ are needed, so that chance
 companions of an entity that occurs once are no evidence.
 
 * null texts are empty; texts without entities are left as they are;
+* very long texts are read whole; time is in proportion to text and matches;
+* columns named ``base`` and ``spans`` of the input give way to the operator's;
 * equal texts count once for the statistics; repeated rows have equal results;
 * an empty table gives an empty result.
 
@@ -28,7 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import small, stored
+from rowloom.llm.common import small, spread_join, stored
+from rowloom.session import fits_broadcast
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 #: The base patterns, written so that a match starts at the border of a run and
@@ -39,6 +42,8 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: Elements that a fold appends one by one.
+BLOCK = 256
 WORD = r"[\p{L}\p{N}_-]"
 TERM = r"(?<![\p{L}\p{N}_-])\p{L}[\p{L}\p{N}_-]{2,}+"
 SPANS = "array<struct<s: bigint, k: int, e: bigint, v: string>>"
@@ -54,20 +59,38 @@ class Disclosure:
     remove: float = 0.97
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _in_blocks(items: Column) -> Column:
+    """An array as an array of arrays of up to ``BLOCK`` elements, so that folds copy short arrays."""
+    last = F.floor((F.greatest(F.size(items), F.lit(1)) - 1) / BLOCK).cast("int")
+    return _bound(items, lambda x: F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(x, b * BLOCK + 1, BLOCK)))
+
+
 def _matches(text: Column, pattern: Column, kind: int) -> Column:
-    """Start, kind, end and value of every match, in code points."""
+    """Start, kind, end and value of every match, in code points; linear in the text for up to a million matches."""
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     between = F.split(text, pattern, -1)
-    zero = F.lit(0).cast("bigint")
+    # The text before each match; the one behind the last match has no match.
+    pieces = F.zip_with(between, found, lambda g, v: F.struct(F.length(g).alias("gap"), v.alias("v")))
+    none = F.array().cast(SPANS)
 
-    def step(acc, v):
-        start = acc["at"] + F.length(F.get(between, acc["i"]))
-        end = start + F.length(v)
-        one = F.struct(start.alias("s"), F.lit(kind).alias("k"), end.alias("e"), v.alias("v"))
-        return F.struct((acc["i"] + 1).alias("i"), end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+    def step(acc, x):
+        start = acc["at"] + x["gap"]
+        end = start + F.length(x["v"])
+        one = F.struct(start.alias("s"), F.lit(kind).alias("k"), end.alias("e"), x["v"].alias("v"))
+        grown = F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        return F.when(x["v"].isNull(), acc).otherwise(grown)
 
-    start = F.struct(F.lit(0).alias("i"), zero.alias("at"), F.array().cast(SPANS).alias("out"))
-    return F.aggregate(found, start, step, lambda acc: acc["out"])
+    def block(acc, some):
+        inner = F.aggregate(some, F.struct(acc["at"].alias("at"), none.alias("out")), step)
+        return _bound(inner, lambda x: F.struct(x["at"].alias("at"), F.concat(acc["out"], x["out"]).alias("out")))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
+    return F.aggregate(_in_blocks(pieces), start, block, lambda acc: acc["out"])
 
 
 def _digits(v: Column) -> Column:
@@ -143,10 +166,9 @@ def revealing_terms(texts: DataFrame, entities: DataFrame, rule: Disclosure) ->
     all_texts = texts.where("text is not null")
     if joint.isEmpty():
         return joint.select("entity", "term", F.lit(1.0).alias("disclosure"))
-    size = all_texts.select(F.sha2("text", 256).alias("h")).distinct().count()
+    size, different = _different(all_texts)
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    holding = all_texts.select(F.sha2("text", 256).alias("h"), F.explode(words).alias("term")).join(small(terms), "term")
-    of_term = holding.groupBy("term").agg(F.count_distinct("h").alias("t"))
+    of_term = different.select(F.explode(words).alias("term")).join(small(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("t"))
     of_entity = mention.groupBy(F.lower("x.v").alias("entity")).agg(F.count_distinct("h").alias("en"))
     known = joint.join(of_term, "term").join(of_entity, "entity")
     content = F.log(F.lit(float(size)) / F.col("en"))
@@ -155,6 +177,23 @@ def revealing_terms(texts: DataFrame, entities: DataFrame, rule: Disclosure) ->
     return stored(measured.where(F.col("disclosure") >= rule.generalise))
 
 
+def _different(texts: DataFrame) -> tuple[int, DataFrame]:
+    """How many different texts there are, and each once; only texts that occur again are shuffled."""
+    hashed = texts.select(F.unhex(F.md5("text")).alias("h"), "text")
+    counts = stored(hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")))
+    again = counts.where("n > 1")
+    marked = joined_once(hashed, again.withColumn("again", F.lit(True)).drop("n"), ["h"], again)
+    once = marked.where("again is null").select("text")
+    return counts.count(), once.unionByName(marked.where("again").dropDuplicates(["h"]).select("text"))
+
+
+def joined_once(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame) -> DataFrame:
+    """Left join with a right side that has each key once; copies of a hot key are dealt by their tasks."""
+    if fits_broadcast(right):
+        return left.join(F.broadcast(right), keys, "left")
+    return spread_join(left, right, keys, "left", counts, F.spark_partition_id())
+
+
 def personal_spans(docs: DataFrame, rule: Disclosure = Disclosure(), text: str = "text", keep_text: bool = False) -> DataFrame:
     """The columns of ``docs`` without the text, ``base`` and ``spans`` (start, kind, end, value).
 
@@ -194,7 +233,10 @@ def personal_spans(docs: DataFrame, rule: Disclosure = Disclosure(), text: str =
         ),
     )
     added = marked.select(F.col("h").alias("__h"), terms.alias("__terms"))
-    joined = found.join(small(added), "__h", "left")
+    # Texts without spans have no digest and take no part in the join.
+    counts = found.where("__h is not null").groupBy("__h").agg(F.count(F.lit(1)).alias("n"))
+    joined = joined_once(found.where("__h is not null"), stored(added), ["__h"], counts)
+    joined = joined.unionByName(found.where("__h is null").withColumn("__terms", F.lit(None).cast(SPANS)))
     every = F.sort_array(F.concat("base", F.coalesce("__terms", F.array().cast(SPANS))))
     raw = [F.col("__raw").alias(text)] if keep_text else []
     return joined.select(*(F.col(f"`{c}`") for c in rest), *raw, "base", every.alias("spans"))
@@ -206,17 +248,23 @@ def sanitised(text: Column, spans: Column) -> Column:
     zero = F.lit(0).cast("bigint")
 
     def step(acc, x):
+        """Within ``acc.cut``, the part of the text that starts at ``acc.from``."""
         mark = F.when((x["k"] == 4) & (x["v"] == ""), F.lit("")).otherwise(F.get(names, x["k"]))
-        before = F.substr(text, acc["at"].cast("int") + 1, (x["s"] - acc["at"]).cast("int"))
-        more = F.concat(acc["out"], F.array(before, mark))
-        apart = x["s"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(apart, more).otherwise(acc["out"]).alias("out"))
+        before = F.substr(acc["cut"], (acc["at"] - acc["from"]).cast("int") + 1, (x["s"] - acc["at"]).cast("int"))
+        out = F.when(x["s"] >= acc["at"], F.concat(acc["out"], before, mark)).otherwise(acc["out"])
+        return F.struct(acc["from"].alias("from"), acc["cut"].alias("cut"), F.greatest(acc["at"], x["e"]).alias("at"), out.alias("out"))
+
+    def block(acc, some):
+        cut = F.substr(text, acc["at"].cast("int") + 1, F.greatest(F.array_max(F.transform(some, lambda x: x["e"])) - acc["at"], zero).cast("int"))
+        start = F.struct(acc["at"].alias("from"), cut.alias("cut"), acc["at"].alias("at"), F.lit("").alias("out"))
+        inner = F.aggregate(some, start, step)
+        return _bound(inner, lambda x: F.struct(x["at"].alias("at"), F.concat(acc["out"], F.array(x["out"])).alias("out")))
 
     start = F.struct(zero.alias("at"), F.array().cast("array<string>").alias("out"))
     whole = F.aggregate(
-        spans,
+        _in_blocks(spans),
         start,
-        step,
+        block,
         lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, acc["at"].cast("int") + 1)),
     )
     return F.when(F.size(spans) > 0, whole).otherwise(text)
