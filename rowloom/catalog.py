@@ -26,7 +26,7 @@ from rowloom.operators.vocab import (
     alignment_report, append_tokens, grow_embeddings, initialise_tokens, lookup_tokens, ordered_union,
 )
 from rowloom.plans.dataset_split import train_test_split
-from rowloom.plans.text_runs import generation_results, prompt_rows
+from rowloom.plans.text_runs import generation_results, list_prompts, prompt_rows, token_run
 from rowloom.session import checkpointed, shared_dir
 from rowloom.sources.files import load_table, token_entries
 from rowloom.sources.positions import file_row_at, row_at, rows_at
@@ -337,7 +337,7 @@ def prompts_in_runs(spark, folder):
     )
 
 
-def list_prompts(spark, folder):
+def prompts_of_lists(spark, folder):
     docs = table(spark, folder, "documents")
     whole = prompt_text(chat_messages(JUDGE, docs["text"]), CHAT_FORMAT, parse_toggle("false"))
     return docs.select("doc_id", whole.alias("prompt"))
@@ -405,6 +405,24 @@ def whole_run(spark, folder):
     return done.select("p_partkey", "label_text", "generated_text", "extracted_label")
 
 
+def whole_run_tokens(spark, folder):
+    """Texts with ids from a stand-in, cleaned, and checked by text and by ids."""
+
+    def factory():
+        return lambda prompts: [(f"<s>{p[-9:]}</s>", [ord(c) for c in p[-9:]]) for p in prompts]
+
+    asked = prompt_rows(table(spark, folder, "part"), ["p_partkey"], CHAT_FORMAT, template="{p_name}", label_col="p_size")
+    asked = asked.withColumn("prompt", F.concat("prompt", F.reverse("label_text"), F.reverse(F.col("p_partkey").cast("string"))))
+    done = token_run(asked, factory, {"1": 49, "</s>": 2, "t": None}, ["<s>", "</s>"], ["11", "22"])
+    checks = F.inline("token_checks").alias("token", "found_in_text", "found_in_ids", "token_id")
+    return done.select("p_partkey", "label_text", "raw_text", "generated_text", "extracted_label", checks)
+
+
+def checked_lists(spark, folder):
+    docs = table(spark, folder, "documents").withColumn("messages", chat_messages(JUDGE, F.col("text")))
+    return list_prompts(docs, ["doc_id"], "messages", CHAT_FORMAT, label_col="lang")
+
+
 # --- vocabularies and embeddings --------------------------------------------
 
 def vector_vocab(spark, folder):
@@ -523,7 +541,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m2_validate_lists": list_validation,
     "m3_prompt": prompts,
     "m3_prompt_blocks": prompts_in_runs,
-    "m3_prompt_from_list": list_prompts,
+    "m3_prompt_from_list": prompts_of_lists,
+    "m3_checked_lists": checked_lists,
     "m4_toggle": reasoning_toggle,
     "g1_generate": generated,
     "g2_first_candidate": candidate,
@@ -532,6 +551,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v2_token_check": token_check,
     "v3_result_row": result_table,
     "v3_whole_run": whole_run,
+    "v3_whole_run_tokens": whole_run_tokens,
     "e1_lookup": token_lookup,
     "e1_lookup_table": token_table_lookup,
     "e2_ordered_union": token_union,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.content import need_columns
 from rowloom.operators.joins import lookup_join
+from rowloom.session import checkpointed
 
 NUMBERED_AT_ONCE = 1_000_000
 LISTED_IN_FILTER = 1_000  # a token list up to this length becomes a filter the scan can use
@@ -56,7 +57,7 @@ def lookup_tokens(
 ) -> DataFrame:
     """``(token, token_id, in_vocab)`` for each token of a list or of a table with a ``token`` column.
 
-    A list is what gets broadcast, never the vocabulary. A table may also carry
+    Only lists and tables of proven size are broadcast. A table may also carry
     an ``encoded`` id list, reported with ``is_single_token``.
     """
     need_columns(vocab, ["token", "id"], "vocabulary")
@@ -66,9 +67,9 @@ def lookup_tokens(
         if len(tokens) <= LISTED_IN_FILTER:
             known = known.where(F.col("token").isin(tokens))
         else:
-            known = known.join(F.broadcast(asked.select("token")), "token", "left_semi")
+            known = lookup_join(known, asked.select("token"), ["token"], "left_semi")
     known = known.groupBy("token").agg(F.min("id").alias("token_id"))
-    if isinstance(tokens, list):
+    if isinstance(tokens, list) and len(tokens) <= LISTED_IN_FILTER:
         # at most one row for each listed token is left here
         found = asked.join(F.broadcast(known), "token", "left")
     else:
@@ -82,28 +83,35 @@ def lookup_tokens(
 
 
 def _numbered(rows: DataFrame, order: str) -> DataFrame:
-    """Adds ``nth`` (from zero, by ``order``), numbering runs of the order column in parallel."""
-    run = F.floor(F.col(order) / F.lit(NUMBERED_AT_ONCE)).cast("bigint")
-    rows = rows.withColumn("__run", run)
-    before = Window.orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy("__run")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select("__run", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    )
-    within = Window.partitionBy("__run").orderBy(order, "token")
-    return (
-        rows.withColumn("__in_run", F.row_number().over(within) - 1)
-        .join(offsets, "__run")
-        .withColumn("nth", F.col("__before") + F.col("__in_run"))
-        .drop("__run", "__in_run", "__before")
+    """Adds ``nth`` (from zero, by ``order``): ranges of about ``NUMBERED_AT_ONCE`` rows are sorted and counted by a task each.
+
+    What one task sees of all is a count for each range.
+    """
+    rows = checkpointed(rows)
+    parts = max(1, -(-rows.count() // NUMBERED_AT_ONCE))
+    ranges = checkpointed(rows.repartitionByRange(parts, order, "token").sortWithinPartitions(order, "token"))
+    in_range = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    placed = ranges.withColumns({"__range": F.spark_partition_id(), "__in": in_range})
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
     )
+    return placed.join(F.broadcast(offsets), "__range").withColumn("nth", F.col("__before") + F.col("__in")).drop("__range", "__in", "__before")
 
 
-def _ids_of(vocab: DataFrame, tokens: list[str]) -> dict[str, int]:
-    """Ids of the listed tokens that the vocabulary has; no larger than the caller's own list."""
-    known = lookup_tokens(vocab, tokens).where("in_vocab").collect()
-    return {r["token"]: r["token_id"] for r in known}
+def vocabulary_state(vocab: DataFrame, tokens: list[str]) -> tuple[dict[str, int], int]:
+    """The ids of those listed tokens that the vocabulary has, and one past its largest id: one scan for a short list."""
+    if len(set(tokens)) > LISTED_IN_FILTER:
+        known = {r["token"]: r["token_id"] for r in lookup_tokens(vocab, tokens).where("in_vocab").collect()}
+        return known, vocab.agg(F.coalesce(F.max("id") + 1, F.lit(0))).first()[0]
+    listed = F.when(F.col("token").isin(list(set(tokens))), F.struct("token", "id"))
+    # No more different tokens than the caller listed, and few ids each.
+    seen = vocab.agg(F.collect_set(listed).alias("known"), F.coalesce(F.max("id") + 1, F.lit(0)).alias("size")).first()
+    known: dict[str, int] = {}
+    for token, id_ in seen["known"]:
+        if id_ is not None:
+            known[token] = min(id_, known.get(token, id_))
+    return known, seen["size"]
 
 
 def append_tokens(vocab: DataFrame, tokens: list[str] | DataFrame) -> DataFrame:
@@ -115,12 +123,10 @@ def append_tokens(vocab: DataFrame, tokens: list[str] | DataFrame) -> DataFrame:
     need_columns(vocab, ["token", "id"], "vocabulary")
     old, schema = vocab.select("token", "id"), vocab.select("token", "id").schema
     if isinstance(tokens, list):
-        known = _ids_of(vocab, tokens)
+        known, start = vocabulary_state(vocab, tokens)
         fresh = [t for t in dict.fromkeys(tokens) if t not in known]
         if not fresh:
             return old
-        top = old.agg(F.max("id")).first()[0]
-        start = 0 if top is None else top + 1
         rows = [(t, start + i) for i, t in enumerate(fresh)]
         return old.unionByName(vocab.sparkSession.createDataFrame(rows, schema))
     need_columns(tokens, ["token", "pos"], "token table")
@@ -209,14 +215,20 @@ def initialise_tokens(
     weights are not shared.
     """
     need_columns(matrix, [id_col, vector_col], "embedding table")
-    ids = sorted(set(_ids_of(vocab, tokens).values()))
+    ids = sorted(set(vocabulary_state(vocab, tokens)[0].values()))
     if not overwrite_existing:
         ids = [i for i in ids if i >= old_vocab_size]
     if not ids:
         return matrix.select(id_col, vector_col)
     reference = matrix.where(F.col(id_col) == reference_id).select(vector_col).scalar()
     copied = F.coalesce(reference, F.raise_error(F.lit(f"no embedding row {reference_id}")))
+    listed = F.col(id_col).isin(ids)
+    if len(ids) > LISTED_IN_FILTER:
+        kind = matrix.schema[id_col].dataType
+        marks = matrix.sparkSession.createDataFrame([(i, True) for i in ids], f"id {kind.simpleString()}, __listed boolean")
+        matrix = lookup_join(matrix.select(id_col, vector_col), marks.withColumnRenamed("id", id_col), [id_col], "left")
+        listed = F.coalesce("__listed", F.lit(False))
     return matrix.select(
         id_col,
-        F.when(F.col(id_col).isin(ids), copied).otherwise(F.col(vector_col)).alias(vector_col),
+        F.when(listed, copied).otherwise(F.col(vector_col)).alias(vector_col),
     )

@@ -115,6 +115,19 @@ SELECT conv_id, (turn//3)::BIGINT AS block, string_agg({_CHAT},'' ORDER BY turn)
     "m3_prompt_from_list": f"""
 SELECT doc_id, '<|im_start|>system'||chr(10)||'Judge the text.<|im_end|>'||chr(10)||'<|im_start|>user'||chr(10)||text
   ||'<|im_end|>'||chr(10)||{_ASK}||'<think></think>' AS prompt FROM documents""",
+    "m3_checked_lists": f"""
+SELECT doc_id, nullif(trim(lang), '') AS label_text, '<|im_start|>system'||chr(10)||'Judge the text.<|im_end|>'||chr(10)||'<|im_start|>user'||chr(10)||text
+  ||'<|im_end|>'||chr(10)||{_ASK} AS prompt FROM documents""",
+    "v3_whole_run_tokens": f"""
+WITH p AS (SELECT p_partkey, p_size::VARCHAR AS label_text,
+  right('<|im_start|>assistant'||chr(10)||reverse(p_size::VARCHAR)||reverse(p_partkey::VARCHAR), 9) AS tail FROM part),
+t(token, token_id) AS (VALUES ('1', 49::BIGINT), ('</s>', 2::BIGINT), ('t', NULL))
+SELECT p_partkey, label_text, '<s>'||tail||'</s>' AS raw_text, tail AS generated_text,
+  CASE WHEN contains(tail,'11') AND contains(tail,'22') THEN 'MULTIPLE' WHEN contains(tail,'11') THEN '11'
+       WHEN contains(tail,'22') THEN '22' ELSE 'NONE' END AS extracted_label,
+  token, contains('<s>'||tail||'</s>', token) AS found_in_text,
+  coalesce(list_contains(list_transform(string_split(tail,''), lambda c: ascii(c)), token_id), false) AS found_in_ids, token_id
+FROM p, t""",
     "m4_toggle": f"""
 SELECT doc_id, {_ASK}||CASE lang WHEN 'en' THEN '<think>' WHEN 'fr' THEN '<think></think>' ELSE '' END AS suffix
 FROM documents""",

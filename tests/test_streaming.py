@@ -4,8 +4,9 @@ from pyspark.sql import types as T
 from rowloom.functions.chat import PromptFormat, chat_messages, extract_label, prompt_text
 from rowloom.functions.content import template_text
 from rowloom.operators.generation import generate
-from rowloom.operators.labels import unknown_labels, with_label
-from rowloom.streaming.rows import stream_table, write_stream
+from rowloom.operators.conversations import validate_messages
+from rowloom.operators.labels import class_counts, unknown_labels, with_label
+from rowloom.streaming.rows import compact_updates, current_rows, stream_table, write_stream, write_updates
 
 SCHEMA = T.StructType().add("i", "long").add("l", "string").add("t", "string")
 
@@ -43,3 +44,38 @@ def test_json_lines_generation_and_audit(spark, tmp_path):
     query = audit.writeStream.outputMode("complete").format("memory").queryName("audit").trigger(availableNow=True).start()
     assert query.awaitTermination(120)
     assert [tuple(r) for r in spark.table("audit").collect()] == [("?", 2)]
+
+
+def test_counts_and_audits_kept_up_to_date(spark, tmp_path):
+    """Three aggregates in update mode over growing files, with a restart and a batch that runs again."""
+    folder, out = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    schema = T.StructType().add("conv", "long").add("turn", "long").add("role", "string").add("text", "string").add("l", "string")
+
+    def run():
+        rows = with_label(stream_table(spark, str(folder), "csv", schema), "l")
+        made = {
+            "audit": (unknown_labels(rows, "l"), ["value"]),
+            "classes": (class_counts(rows), ["label"]),
+            "bad": (validate_messages(rows, "conv", "turn"), ["conv"]),
+        }
+        for name, (df, _) in made.items():
+            assert write_updates(df, str(out / name), f"up-{name}").awaitTermination(120)
+        return {n: {tuple(r) for r in current_rows(spark, str(out / n), k).collect()} for n, (_, k) in made.items()}
+
+    (folder / "1.csv").write_text("conv,turn,role,text,l\n1,0,user,a,yes\n1,1,,b,?\n2,0,user,c,no\n2,1,user,d,NA\n")
+    assert run() == {
+        "audit": {("?", 1), (None, 1)}, "classes": {(True, 1), (False, 1), (None, 2)}, "bad": {(1, 1, 1), (2, 0, None)},
+    }
+    (folder / "2.csv").write_text("conv,turn,role,text,l\n2,2,user,,?\n1,2,user,z,yes\n")
+    want = {
+        "audit": {("?", 2), (None, 1)}, "classes": {(True, 2), (False, 1), (None, 3)}, "bad": {(1, 1, 1), (2, 1, 2)},
+    }
+    assert run() == want and run() == want
+    # A batch whose folder was written before the restart is written again, not added.
+    changed = spark.read.parquet(str(out / "audit" / "batch=1"))
+    kept = [tuple(r) for r in changed.collect()]
+    spark.createDataFrame(kept, changed.schema).write.mode("overwrite").parquet(str(out / "audit" / "batch=1"))
+    assert run() == want
+    compact_updates(spark, str(out / "classes"), str(out / "small"), ["label"])
+    assert {tuple(r) for r in current_rows(spark, str(out / "small"), ["label"]).collect()} == want["classes"]

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rowloom.operators import joins, vocab as vocab_module
@@ -97,3 +98,28 @@ def test_initialise(vocab, matrix):
     assert got[1] == got[3] == ([2.0, -2.0],)
     with pytest.raises(Exception, match="no embedding row 9"):
         initialise_tokens(wide, bigger, tokens, 9, 3).collect()
+
+
+def test_a_million_sparse_positions(spark, vocab):
+    """Positions far apart: the ranges are by rows, not by the numbers between them."""
+    tokens = spark.range(1_000_000).select(F.format_string("s%07d", "id").alias("token"), (F.col("id") * 10_000_019 % 999_983_000_011).alias("pos"))
+    top = vocab.agg(F.max("id")).first()[0]
+    got = append_tokens(vocab, tokens).where("token like 's%'")
+    seen = got.agg(F.count("*"), F.count_distinct("id"), F.min("id"), F.max("id")).first()
+    assert tuple(seen) == (1_000_000, 1_000_000, top + 1, top + 1_000_000)
+    joined = got.join(tokens, "token").select("id", F.lag("pos").over(Window.orderBy("id")).alias("before"), "pos")
+    assert joined.where("before >= pos").count() == 0
+
+
+def test_long_lists_are_joined(spark, vocab, matrix, monkeypatch):
+    monkeypatch.setattr(vocab_module, "LISTED_IN_FILTER", 1)
+    tokens = ["a", "<N>", "<M>"]
+    bigger = append_tokens(vocab, tokens)
+    assert vocab_module.vocabulary_state(bigger, tokens) == (
+        {r.token: r.id for r in bigger.where(F.col("token").isin(tokens)).collect()}, bigger.agg(F.max("id")).first()[0] + 1,
+    )
+    old = vocab_module.vocabulary_state(vocab, [])[1]
+    wide = grow_embeddings(matrix, old + 2)
+    long = initialise_tokens(wide, bigger, tokens, 0, old)
+    monkeypatch.setattr(vocab_module, "LISTED_IN_FILTER", 1000)
+    assert sorted(map(str, long.collect())) == sorted(map(str, initialise_tokens(wide, bigger, tokens, 0, old).collect()))
