@@ -4,10 +4,11 @@ Texts become token pieces of at most ``capacity`` ids. The pieces' length
 histogram, at most ``capacity`` numbers however large the corpus, is all that
 reaches the driver. There the configuration program (how often to use each
 combination of lengths that fits a sequence) is solved by multiplicative
-weights: each round a knapsack by dynamic programming prices the combination of
-greatest weight, and the lengths it serves lose weight. The fractional solution
-is rounded down and what is left is packed best-fit decreasing, both on the
-histogram. Pieces find their places by their rank among pieces of equal length,
+weights on groups of neighbouring lengths, with a knapsack by dynamic programming
+that prices new combinations, up to a proven gap. The fractional solution is
+rounded to whole sequences of real lengths; those that would leave much room, and
+what is then left over, are packed best-fit decreasing, all on the histogram.
+Pieces find their places by their rank among pieces of equal length,
 counted per task and added up in Spark.
 
 * null and empty texts are one piece with the end id only;
@@ -17,9 +18,11 @@ counted per task and added up in Spark.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,56 +33,120 @@ from pyspark.sql import functions as F
 from rowloom.llm.common import small, stored
 from rowloom.llm.tokens import word_tokens
 
-ROUNDS = 400
+#: Groups of neighbouring lengths in the program; most prices asked for, steps between two, their size; the gap to end at.
+GROUPS, PRICES, STEPS, RATE, GAP = 200, 150, 400, 0.1, 0.02
+#: A sequence with more room than this share is left to best fit.
+WASTE = 1 / 512
+#: Prices are mostly those of the best proven bound, so that new patterns suit the ones there are.
+STAY = 0.8
 
 
-def best_pattern(lengths: np.ndarray, value: np.ndarray, capacity: int) -> list[int]:
-    """The multiset of lengths within capacity with the greatest value: unbounded knapsack."""
+def knapsack(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each capacity the greatest value of lengths within it, any number of each, and one of them (-1: none)."""
     best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        k = fitting[c]
-        if k:
-            gain = best[c - lengths[:k]] + value[:k]
-            j = int(gain.argmax())
-            if gain[j] > best[c]:
-                best[c], choice[c] = gain[j], j
-    out, c = [], capacity
-    while c > 0:
-        if choice[c] < 0:
-            c -= 1
-        else:
-            out.append(int(choice[c]))
-            c -= int(lengths[choice[c]])
+    for j, (length, v) in enumerate(zip(lengths.tolist(), value.tolist())):
+        # A row for each turn of the length: in a column, the best start and a value for each turn since.
+        turns = -(-(capacity + 1) // length)
+        grid = np.full(turns * length, -np.inf)
+        grid[: capacity + 1] = best
+        rise = (np.arange(turns) * v)[:, None]
+        more = (np.maximum.accumulate(grid.reshape(turns, length) - rise, axis=0) + rise).ravel()[: capacity + 1]
+        better = more > best + 1e-12
+        best[better], choice[better] = more[better], j
+    return best, choice
+
+
+def pattern_of(lengths: np.ndarray, choice: np.ndarray, capacity: int) -> list[int]:
+    """The lengths, by index, behind a capacity's greatest value."""
+    out = []
+    while choice[capacity] >= 0:
+        out.append(int(choice[capacity]))
+        capacity -= int(lengths[choice[capacity]])
     return out
 
 
-def configuration_program(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = ROUNDS, eps: float = 0.3):
-    """Fractional use of patterns by multiplicative weights; patterns as sorted tuples of indices."""
-    weight = lengths / capacity
-    use: Counter = Counter()
-    covered = np.zeros(len(lengths))
-    for _ in range(rounds):
-        pattern = best_pattern(lengths, weight, capacity)
-        if not pattern:
-            break
-        times = np.bincount(pattern, minlength=len(lengths))
-        # As often as keeps every length within a small part of its demand.
-        step = (demand[times > 0] / times[times > 0]).min() * eps
-        use[tuple(sorted(pattern))] += step
-        share = times * step / demand
-        covered += share
-        weight = weight * np.exp(-np.minimum(share * 3, 3.0))
-        if covered.min() >= 1:
+def best_pattern(lengths: np.ndarray, value: np.ndarray, capacity: int) -> list[int]:
+    """The multiset of lengths within capacity with the greatest value."""
+    return pattern_of(lengths, knapsack(lengths, value, capacity)[1], capacity)
+
+
+def length_groups(lengths: np.ndarray, demand: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """The group of each ascending length: neighbours, with about equal tokens, numbered without gaps.
+
+    A rare length alone would hold back every pattern that it is in.
+    """
+    tokens = np.cumsum(lengths * demand)
+    return np.unique(np.ceil(tokens / tokens[-1] * groups).astype(np.int64), return_inverse=True)[1]
+
+
+@dataclass(frozen=True)
+class Program:
+    """A solved configuration program: patterns (indices of lengths) and how often to use each.
+
+    ``use`` covers all demand. ``bound``: no covering has fewer sequences, by
+    the best prices as a dual solution.
+    """
+
+    patterns: list[tuple[int, ...]]
+    use: np.ndarray
+    bound: float
+
+    @property
+    def gap(self) -> float:
+        return float(self.use.sum() / self.bound - 1)
+
+
+def _shares(logs: np.ndarray) -> np.ndarray:
+    weight = np.exp(logs - logs.max())
+    return weight / weight.sum()
+
+
+def configuration_program(lengths: np.ndarray, demand: np.ndarray, capacity: int, prices: int = PRICES, gap: float = GAP) -> Program:
+    """The covering program by multiplicative weights, on patterns and on lengths.
+
+    Patterns gain weight by the lengths they serve, lengths lose it by the
+    patterns that serve them, each step looking ahead by its last change. The
+    steps' mean is the solution. Every ``STEPS`` a knapsack prices, for each
+    length, the best pattern that holds it; that is also the dual bound.
+    """
+    m, least = len(lengths), float(lengths @ demand) / capacity
+    known = {(j,) * (capacity // n): j for j, n in enumerate(lengths.tolist())}
+    served = np.diag(capacity // lengths) * (least / demand)
+    logs, price_logs = np.zeros(m), np.zeros(m)
+    price, centre, bound, best = np.ones(m) / m, np.ones(m) / m, 0.0, (math.inf, np.zeros(0))
+    for _ in range(prices):
+        top, choice = knapsack(lengths, price / demand, capacity)
+        if (now := float(price.sum() / top[capacity])) > bound:
+            bound, centre = now, price
+        if best[0] <= bound * (1 + gap):
             break
-    mean = float((covered * demand * lengths).sum() / max((demand * lengths).sum(), 1e-9))
-    return {p: x / max(mean, 1.0) for p, x in use.items()}
+        fresh = [tuple(sorted([j, *pattern_of(lengths, choice, capacity - n)])) for j, n in enumerate(lengths.tolist())]
+        fresh = [p for p in dict.fromkeys(fresh) if p not in known]
+        known |= {p: len(known) + i for i, p in enumerate(fresh)}
+        rows = np.array([np.bincount(p, minlength=m) for p in fresh]).reshape(-1, m) * (least / demand)
+        served = np.vstack([served, rows])
+        logs = np.concatenate([logs, np.full(len(fresh), logs.max() - 4)])
+        use, price_mean, last = np.zeros(len(logs)), np.zeros(m), None
+        for _ in range(STEPS):
+            x, w = _shares(logs), _shares(price_logs)
+            gain = served @ w, x @ served
+            last = last or gain
+            logs = logs + RATE * (2 * gain[0] - last[0])
+            price_logs = price_logs - RATE * (2 * gain[1] - last[1])
+            use, price_mean, last = use + x / STEPS, price_mean + w / STEPS, gain
+        covered = float((use @ served).min())
+        if covered > 0 and least / covered < best[0]:
+            best = least / covered, use * (least / covered)
+        price = STAY * centre + (1 - STAY) * price_mean
+    patterns = list(known)[: len(best[1])]
+    return Program(patterns, best[1], bound)
 
 
-def best_fit(lengths: list[int], counts: list[int], capacity: int) -> Counter:
-    """Best-fit decreasing on a histogram: patterns of lengths and how often each is used."""
+def best_fit(lengths: list[int], counts: list[int], capacity: int, begun: Counter | None = None) -> Counter:
+    """Best-fit decreasing on a histogram: patterns of lengths and how often each is used, those ``begun`` included."""
     room: dict[int, Counter] = defaultdict(Counter)
+    for pattern, n in (begun or {}).items():
+        room[capacity - sum(pattern)][pattern] += n
     for length, left in sorted(zip(lengths, counts), reverse=True):
         while left:
             at = min((r for r, bins in room.items() if r >= length and bins), default=None)
@@ -105,26 +172,61 @@ def best_fit(lengths: list[int], counts: list[int], capacity: int) -> Counter:
     return total
 
 
+def rounded(program: Program, group: np.ndarray, lengths: np.ndarray, left: np.ndarray, capacity: int) -> Counter:
+    """Whole uses of the program's patterns, with real lengths for its groups; takes them from ``left``.
+
+    Patterns come by falling use, each rounded up while its groups last. A slot
+    takes its group's longest length that is left, the last slot the longest
+    that fits, so what rounding up to groups had left open is used.
+    """
+    plan: Counter = Counter()
+    edges = np.searchsorted(group, np.arange(group.max() + 2))
+    for k in np.argsort(-program.use, kind="stable").tolist():
+        todo = math.ceil(program.use[k] - 1e-6)
+        slots = sorted(program.patterns[k], reverse=True)
+        while todo > 0:
+            taken: Counter = Counter()
+            room = capacity
+            for i, g in enumerate(slots):
+                low, high = edges[g], edges[g + 1]
+                if i == len(slots) - 1:
+                    high = max(high, np.searchsorted(lengths, room, side="right"))
+                at = next((j for j in range(high - 1, low - 1, -1) if left[j] > taken[j]), None)
+                if at is None:
+                    break
+                taken[at] += 1
+                room -= int(lengths[at])
+            if len(slots) == sum(taken.values()) and room <= WASTE * capacity:
+                times = min(todo, *(int(left[j]) // n for j, n in taken.items()))
+                for j, n in taken.items():
+                    left[j] -= n * times
+                plan[tuple(sorted((int(lengths[j]) for j in taken.elements()), reverse=True))] += times
+                todo -= times
+                continue
+            break
+    return plan
+
+
+def program_plan(histogram: dict[int, int], capacity: int) -> tuple[Counter, dict[int, int], Program | None]:
+    """Patterns placed through the program, the lengths left over, and the program on groups."""
+    rest = {k: v for k, v in histogram.items() if v and k < capacity}
+    plan = Counter({(capacity,): histogram[capacity]}) if histogram.get(capacity) else Counter()
+    if not rest:
+        return plan, {}, None
+    lengths = np.array(sorted(rest))
+    left = np.array([rest[x] for x in lengths.tolist()])
+    group = length_groups(lengths, left)
+    longest = np.array([lengths[group == g].max() for g in range(group.max() + 1)])
+    program = configuration_program(longest, np.bincount(group, left), capacity)
+    plan.update(rounded(program, group, lengths, left, capacity))
+    return plan, {int(k): int(v) for k, v in zip(lengths, left) if v}, program
+
+
 def packing_plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths and their numbers, which use up the histogram exactly."""
-    left = dict(histogram)
-    plan: Counter = Counter()
-    if full := left.pop(capacity, 0):
-        plan[(capacity,)] = full
-    if left:
-        lengths = np.array(sorted(left))
-        demand = np.array([left[x] for x in lengths.tolist()], float)
-        solved = configuration_program(lengths, demand, capacity)
-        for pattern, x in sorted(solved.items(), key=lambda p: (-p[1], p[0])):
-            times = Counter(int(lengths[i]) for i in pattern)
-            n = min(int(x), *(left[k] // v for k, v in times.items()))
-            if n > 0:
-                plan[tuple(sorted(times.elements(), reverse=True))] += n
-                for k, v in times.items():
-                    left[k] -= n * v
-        rest = [(k, v) for k, v in left.items() if v]
-        if rest:
-            plan.update(best_fit(*map(list, zip(*rest)), capacity))
+    plan, rest, _ = program_plan(histogram, capacity)
+    if rest:
+        plan = best_fit(list(rest), list(rest.values()), capacity, plan)
     return sorted(plan.items(), reverse=True)
 
 
