@@ -8,9 +8,10 @@ into one machine, which runs over each clause; a clause counts by its strongest
 match, so an insult denied or quoted weighs less than one aimed at somebody.
 
 The insults are a small fixed list and words learnt from labels: those in at least
-``MIN_TOXIC`` toxic texts whose share of toxic texts is beyond chance. The
-weights of the matches are fitted by logistic regression. Both rest on a sample
-of about ``SAMPLE`` labelled rows at most.
+``MIN_TOXIC`` toxic texts whose share of toxic texts is beyond chance, the
+``MAX_WORDS`` furthest beyond it. The weights of the matches are fitted by
+logistic regression, in the order reported, denied, plain, aimed. Both rest on a
+sample of about ``SAMPLE`` labelled rows at most.
 
 * null, empty and blank texts have no clause and get the score of a text without matches;
 * unlabelled rows and rows that are held out are not learnt from; without labels of both
@@ -20,7 +21,7 @@ of about ``SAMPLE`` labelled rows at most.
 
 from __future__ import annotations
 
-import math
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -38,14 +39,18 @@ SAMPLE, MAX_WORDS, MIN_TOXIC, CHANCE = 20_000, 5_000, 4, 6.0
 TOKEN = re.compile(r"[^\W_]+|[.,;:!?\n]")
 STOPS = frozenset(".,;:!?\n")
 
-#: Words of the grammar in English, German, French and Spanish.
+#: Words of the grammar in English, German, French and Spanish. Verbs of violence are apart by
+#: where their object stands: behind them, or before them as in "dich töten", "te matar".
 INSULTS = "idiot idiots moron morons stupid scum loser losers trash clown worthless pathetic disgusting imbecile dumb"
-THREATS = "kill hurt destroy beat die töten umbringen schlagen tuer frapper matar golpear"
-TARGETS = "you your yours he him she her they them du dich dein ihr euch sie tu toi ton vous votre tú te usted ustedes ellos"
+STRIKES = "kill hurt destroy beat töte schlage tue frappe mataré golpearé"
+THREATS = "töten umbringen schlagen tuer frapper matar golpear"
+TARGETS = "your yours he she they du dein ihr sie tu ton votre tú usted ustedes ellos"
+OBJECTS = "you him her them dich euch ihn te toi vous os"
 NEGATIONS = "not no never nobody nicht kein keine nie niemals pas jamais aucun aucune nunca jamás ningún ninguna"
 REPORTS = "said says wrote writes quoted quotes called sagte schrieb zitierte dit écrit cité dijo escribió citó"
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END, STRIKE, OBJECT = range(9)
+VIOLENT = (INSULT, THREAT, STRIKE)
 #: Marked matches, from the weakest: reported, denied, plain, aimed at somebody; the same for threats.
 REPORTED, DENIED, PLAIN, AIMED = 10, 20, 30, 40
 MATCHES = [REPORTED, DENIED, PLAIN, AIMED]
@@ -63,28 +68,47 @@ class Transducer:
 
 def _reports() -> Transducer:
     """After a reporting word, insults and threats of the clause are reported."""
-    return Transducer({(0, REPORT): (1, OTHER), (1, INSULT): (1, REPORTED), (1, THREAT): (1, REPORTED), (1, END): (0, END)})
+    return Transducer({(0, REPORT): (1, OTHER), (1, END): (0, END)} | {(1, x): (1, REPORTED) for x in VIOLENT})
 
 
 def _denials(reach: int = 3) -> Transducer:
     """A negation governs the next ``reach`` words."""
     arcs = {(s, NEGATION): (reach, OTHER) for s in range(reach + 1)}
     for s in range(1, reach + 1):
-        arcs |= {(s, x): (s - 1, x) for x in (OTHER, TARGET, REPORTED)}
-        arcs |= {(s, INSULT): (0, DENIED), (s, THREAT): (0, DENIED), (s, END): (0, END)}
+        arcs |= {(s, x): (s - 1, x) for x in (OTHER, TARGET, OBJECT, REPORTED)}
+        arcs |= {(s, x): (0, DENIED) for x in VIOLENT} | {(s, END): (0, END)}
     return Transducer(arcs)
 
 
-def _targets() -> Transducer:
-    """Insults and threats behind a target in the clause are aimed; others are plain; a threat without target is nothing."""
-    arcs = {(0, TARGET): (1, OTHER), (1, END): (0, END), (0, INSULT): (2, PLAIN), (0, THREAT): (0, OTHER)}
-    arcs |= {(1, INSULT): (1, AIMED), (1, THREAT): (1, AIMED), (1, TARGET): (1, OTHER)}
-    # A target behind a plain insult turns the match into an aimed one.
-    arcs |= {(2, INSULT): (2, PLAIN), (2, TARGET): (1, AIMED), (2, THREAT): (2, PLAIN), (2, END): (0, END)}
+def _targets(before: int = 4, behind: int = 2) -> Transducer:
+    """Insults near a target in the clause are aimed, others plain; violence counts with somebody as its object only.
+
+    A state holds what was seen (nothing, a target, an insult without one), for
+    how many words an object still stands before a verb, and for how many a
+    verb still waits for its object.
+    """
+    arcs = {}
+    for seen, held, waits in itertools.product(range(3), range(before + 1), range(behind + 1)):
+        state = (seen * (before + 1) + held) * (behind + 1) + waits
+        for symbol in (*range(9), REPORTED, DENIED):
+            now, out, near, open_for = seen, symbol, max(held - 1, 0), max(waits - 1, 0)
+            if symbol == END:
+                now = near = open_for = 0
+            elif symbol in (TARGET, OBJECT):
+                out = AIMED if seen == 2 or (symbol == OBJECT and waits) else OTHER
+                now = 1
+                near, open_for = (before, 0) if symbol == OBJECT else (near, open_for)
+            elif symbol == INSULT:
+                out, now = (AIMED, 1) if seen == 1 else (PLAIN, 2)
+            elif symbol == THREAT:
+                out = AIMED if held else OTHER
+            elif symbol == STRIKE:
+                out, open_for = OTHER, behind
+            arcs[state, symbol] = (now * (before + 1) + near) * (behind + 1) + open_for, out
     return Transducer(arcs)
 
 
-def composed(machines: list[Transducer], symbols: range = range(7)) -> tuple[np.ndarray, np.ndarray]:
+def composed(machines: list[Transducer], symbols: range = range(9)) -> tuple[np.ndarray, np.ndarray]:
     """One machine that does what the machines do one after another: tables of next state and output."""
     start = tuple(0 for _ in machines)
     number, todo, rows = {start: 0}, [start], []
@@ -113,7 +137,9 @@ class ToxicityModel:
 
 def fixed_words() -> dict[str, int]:
     out = {}
-    for some, symbol in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT), (INSULTS, INSULT)):
+    for some, symbol in (
+        (TARGETS, TARGET), (OBJECTS, OBJECT), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT), (STRIKES, STRIKE), (INSULTS, INSULT),
+    ):
         out |= dict.fromkeys(some.split(), symbol)
     return out
 
@@ -124,7 +150,7 @@ def clause_matches(text: str | None, words: dict[str, int], machine) -> list[int
     tokens = TOKEN.findall((text or "").lower())
     get = words.get
     symbols = [END if t in STOPS else get(t, OTHER) for t in tokens]
-    if INSULT not in symbols and THREAT not in symbols:
+    if not any(x in symbols for x in VIOLENT):
         counts[4] = symbols.count(END) + 1
         return counts
     nexts, outs = machine
@@ -161,19 +187,31 @@ def _scores(counts: np.ndarray, weights) -> np.ndarray:
 FIXED_WEIGHTS = (-3.0, 0.5, 0.5, 3.5, 4.0, 2.0)
 
 
-def fitted(counts: np.ndarray, toxic: np.ndarray, ridge: float = 0.1) -> tuple[float, ...]:
-    """Logistic regression by Newton's method; small steps towards the fixed weights by the ridge."""
-    x, prior = _features(counts), np.array(FIXED_WEIGHTS)
-    w = prior.copy()
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - toxic) + ridge * (w - prior)
-        bend = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
-        move = np.linalg.solve(bend, slope)
-        w = w - move
-        if np.abs(move).max() < 1e-8:
+def fitted(counts: np.ndarray, toxic: np.ndarray, ridge: float = 0.1, sweeps: int = 300) -> tuple[float, ...]:
+    """Logistic regression with weights that rise from reported over denied and plain to aimed, none below zero.
+
+    Each kind's weight is the last one's and a step that is not negative, so
+    steps are what is fitted, one after another by Newton's method; the ridge
+    draws them to those of the fixed weights.
+    """
+    x = _features(counts)
+    x[:, 1:5] = x[:, 4:0:-1].cumsum(axis=1)[:, ::-1]
+    prior = np.array(FIXED_WEIGHTS)
+    prior[1:5] = np.diff(prior[1:5], prepend=0)
+    step, at = prior.copy(), x @ prior
+    for _ in range(sweeps):
+        largest = 0.0
+        for k in range(len(step)):
+            p = 1 / (1 + np.exp(-np.clip(at, -30, 30)))
+            slope = x[:, k] @ (p - toxic) + ridge * (step[k] - prior[k])
+            bend = (x[:, k] ** 2) @ (p * (1 - p)) + ridge
+            new = step[k] - np.clip(slope / bend, -2, 2)
+            new = new if k == 0 else max(new, 0.0)
+            at += x[:, k] * (new - step[k])
+            largest, step[k] = max(largest, abs(new - step[k])), new
+        if largest < 1e-7:
             break
-    return tuple(w.tolist())
+    return (float(step[0]), *step[1:5].cumsum().tolist(), float(step[5]))
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
