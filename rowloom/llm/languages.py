@@ -92,8 +92,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn_languages(rows: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> LanguageModel:
     """The model; at most ``CELLS`` counts a language come to the driver."""
     known = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(key, F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    some = bounded_sample(known, key, sample * max(1, len(sizes)))
+    some = bounded_sample(known, key, sample, by="lang")
     counts = some.select("lang", "text").mapInArrow(_counted, "lang string, cell int, n bigint")
     found = counts.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     names = sorted(found["lang"].unique())

@@ -78,8 +78,10 @@ def extendible_shards(rows: DataFrame, key: list[str], size: Column, max_bytes:
         done = here if done is None else done.unionByName(here)
         open_bins = directory.where("shard is null").select("bin")
         largest = bins.join(open_bins, "bin", "left_semi").agg(F.max("bytes").alias("n")).first()["n"]
-        if largest is None or depth == KEY_BITS + ROW_BITS:
+        if largest is None:
             return done
+        if depth == KEY_BITS + ROW_BITS:
+            raise ValueError(f"rows of {largest} bytes share all {depth} bits of their address")
         pending = pending.join(small(open_bins), "bin", "left_semi").drop("bin")
         # Rows of one key part on the row's bits only, so the next look takes these in.
         low, depth = depth + 1, max(depth, KEY_BITS)
