@@ -44,23 +44,44 @@ class OutlierRule:
     floors: tuple[float, ...] = (0.08, 0.35, 0.35, 0.12)
 
 
+#: Bits of a window's number that hold its place, for texts of up to 2^20 words and for longer ones.
+PLACE_BITS = 20, 31
+
+
 def _repeat_words(words: Column, packed: Column, bits: Column) -> Column:
-    """Words within 3-word windows found twice or more; ``packed``: sorted (hash bits, position)."""
+    """Words within 3-word windows found twice or more; ``packed``: sorted (hash bits, position).
+
+    Windows of equal hash bits are neighbours. Where two of them have other
+    words, the text's windows are sorted by their words instead.
+    """
     mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1
 
+    def alike(a, b):
+        return F.call_function("shiftrightunsigned", a, bits) == F.call_function("shiftrightunsigned", b, bits)
+
     def same(a, b):
         at, to = a.bitwiseAND(mask).cast("int"), b.bitwiseAND(mask).cast("int")
-        equal = F.call_function("shiftrightunsigned", a, bits) == F.call_function("shiftrightunsigned", b, bits)
+        equal = alike(a, b)
         for k in range(3):
             equal = equal & (F.get(words, at + k) == F.get(words, to + k))
-        return equal
-
-    found = F.filter(
-        packed,
-        lambda x, i: F.coalesce(same(F.get(packed, i - 1), x), F.lit(False))
-        | F.coalesce(same(x, F.get(packed, i + 1)), F.lit(False)),
+        return F.coalesce(equal, F.lit(False))
+
+    def both(values, equal):
+        return F.filter(values, lambda x, i: equal(F.get(values, i - 1), x) | equal(x, F.get(values, i + 1)))
+
+    by_hash = F.transform(both(packed, same), lambda x: x.bitwiseAND(mask))
+    mixed = F.filter(packed, lambda x, i: F.coalesce(alike(F.get(packed, i - 1), x), F.lit(False)) & ~same(F.get(packed, i - 1), x))
+    spelt = F.sort_array(
+        F.transform(
+            F.sequence(F.lit(0), F.size(words) - 3),
+            lambda i: F.struct(*(F.get(words, i + k).alias(f"w{k}") for k in range(3)), i.cast("bigint").alias("at")),
+        )
     )
-    places = F.sort_array(F.transform(found, lambda x: x.bitwiseAND(mask)))
+    equal_words = lambda a, b: F.coalesce((a["w0"] == b["w0"]) & (a["w1"] == b["w1"]) & (a["w2"] == b["w2"]), F.lit(False))
+    # The sorted windows are bound to a variable, so that they are worked out once.
+    by_words = F.get(F.transform(F.array(spelt), lambda all_of: F.transform(both(all_of, equal_words), lambda x: x["at"])), 0)
+    found = F.when(F.size(mixed) > 0, by_words).otherwise(by_hash)
+    places = F.sort_array(found)
     zero = F.lit(0).cast("bigint")
     return F.aggregate(
         places,
@@ -77,12 +98,13 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
     A repeat is told by the leading bits of a window's hash and confirmed by
     comparing the words; the rest of the 64 bits holds the window's place.
+    Counts are exact for texts of any length.
     """
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in {text, *BASE}]
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     words = docs.select(*rest, whole.alias("__text"), word_array(whole).alias("__words"))
     n = F.size("__words")
-    bits = F.when(n < (1 << 20), 20).otherwise(27)
+    bits = F.when(n < (1 << 20), PLACE_BITS[0]).otherwise(PLACE_BITS[1])
     windows = F.when(
         n >= 3,
         F.sort_array(
