@@ -15,7 +15,7 @@ import corpus_pipeline
 from rowloom.llm import queries as Q
 from rowloom.llm.components import connected_components
 from rowloom.llm.languages import held_out_languages, viterbi
-from rowloom.llm.packing import best_fit, best_pattern, packed, packing_plan
+from rowloom.llm.packing import GAP, best_fit, best_pattern, configuration_program, packed, packing_plan, program_plan
 from rowloom.llm.pieces import PieceModel, encoded, piece_digests
 from rowloom.llm.quality import BASE, quality_rules
 from rowloom.llm.repeats import without_repeats
@@ -23,7 +23,7 @@ from rowloom.llm.sanitise import KINDS, Disclosure, personal_spans, sanitised, s
 from rowloom.llm.sharding import extendible_shards
 from rowloom.llm.simhash import BLOCKS, first_of_components, forest, simhash_components
 from rowloom.llm.syncmers import edited_fingerprints
-from rowloom.llm.toxicity import composed, held_out_toxicity
+from rowloom.llm.toxicity import composed, fitted, held_out_toxicity
 from rowloom.llm.toxicity import _denials, _machine, _reports, _targets, clause_matches, fixed_words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -212,6 +212,44 @@ def test_packing_plan():
     assert np.isclose(value[best_pattern(lengths, value, 13)].sum(), best)
 
 
+def test_configuration_program():
+    rng = np.random.default_rng(4)
+    lengths = np.concatenate([rng.integers(1, 2048, 4000), rng.integers(1, 400, 4000)])
+    histogram = {int(k): 25 * int(v) for k, v in zip(*np.unique(lengths, return_counts=True))}
+    placed, rest, program = program_plan(histogram, 2048)
+    assert program.gap <= GAP
+    assert sum(rest.values()) <= 0.25 * sum(histogram.values())
+    alone = sum(best_fit(list(histogram), list(histogram.values()), 2048).values())
+    assert sum(n for _, n in packing_plan(histogram, 2048)) <= 1.001 * alone + 1
+    # The fractional solution covers all demand with patterns that fit, and its bound is below any covering.
+    sizes, demand = np.array([3, 5, 7]), np.array([40.0, 30.0, 20.0])
+    small = configuration_program(sizes, demand, 13)
+    assert all(sizes[list(p)].sum() <= 13 for p in small.patterns) and 0 <= small.gap <= GAP
+    covered = sum(x * np.bincount(p, minlength=3) for p, x in zip(small.patterns, small.use))
+    assert np.all(covered >= demand * (1 - 1e-9)) and small.bound >= sizes @ demand / 13 - 1e-9
+    assert program_plan({}, 2048)[2] is None and packing_plan({2048: 3}, 2048) == [((2048,), 3)]
+
+
+def test_samples(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 200 == 0, "rare").otherwise("often").alias("kind"))
+    from rowloom.llm.sampling import bounded_sample
+
+    assert bounded_sample(rows, "id", 20_000).count() == 20_000
+    assert 800 < bounded_sample(rows, "id", 1000).count() < 1200
+    sizes = {r["kind"]: r["count"] for r in bounded_sample(rows, "id", 1000, by="kind").groupBy("kind").count().collect()}
+    assert sizes["rare"] == 100 and 800 < sizes["often"] < 1200
+    assert bounded_sample(rows.limit(0), "id", 5, by="kind").count() == 0
+
+
+def test_quality_counts_when_hashes_collide(docs, rows, monkeypatch):
+    from rowloom.llm import quality
+
+    expected = {r["doc_id"]: r["n_repeat_words"] for r in quality.text_statistics(docs.where("doc_id < 100")).collect()}
+    monkeypatch.setattr(quality, "PLACE_BITS", (60, 60))  # four bits of hash are left
+    found = {r["doc_id"]: r["n_repeat_words"] for r in quality.text_statistics(docs.where("doc_id < 100")).collect()}
+    assert found == expected and max(found.values()) > 50
+
+
 def test_syncmers(docs, none, rows, monkeypatch):
     from rowloom.llm import syncmers
 
@@ -256,11 +294,16 @@ def test_toxicity(docs, none, spark):
     assert count("The idiot sleeps")[:4] == [0, 0, 1, 0]
     assert count("She is not an idiot")[:4] == [0, 1, 0, 0]
     assert count("He said idiot, twice")[:4] == [1, 0, 0, 0]
-    assert count("I will kill time")[:4] == [0, 0, 0, 0] and count("they kill")[:4] == [0, 0, 0, 1]
+    assert count("I will kill time")[:4] == count("they kill")[:4] == [0, 0, 0, 0]
+    for fine in ("Sie liest die Zeitung", "She beat the eggs", "Er schlägt die Eier", "Tu vas tuer le temps", "Ella va a matar el tiempo"):
+        assert count(fine)[:4] == [0, 0, 0, 0], fine
+    for meant in ("I will kill you", "They beat him", "Ich werde dich töten", "Je vais te tuer", "Te voy a matar"):
+        assert count(meant)[:4] == [0, 0, 0, 1], meant
+    assert count("He said he will kill you")[:4] == [1, 0, 0, 0] and count("I will not kill you")[:4] == [0, 1, 0, 0]
     assert count(None)[:4] == count("")[:4] == [0, 0, 0, 0]
     # The composed machine does what the machines do in turn.
     nexts, outs = composed([_reports(), _denials(), _targets()])
-    for symbols in itertools.product(range(7), repeat=4):
+    for symbols in itertools.product(range(9), repeat=4):
         state, states = 0, [0, 0, 0]
         for x in symbols:
             out = x
@@ -268,6 +311,10 @@ def test_toxicity(docs, none, spark):
                 states[k], out = m.step(states[k], out)
             assert outs[state, x] == out
             state = nexts[state, x]
+    # Labels that turn the grammar round do not turn the weights round.
+    counts = np.array([[0, 0, 1, 0, 3], [0, 0, 0, 1, 3], [1, 0, 0, 0, 3], [0, 0, 0, 0, 3]] * 20, float)
+    weights = fitted(counts, np.array([1, 0, 1, 0] * 20, float))
+    assert 0 <= weights[1] <= weights[2] <= weights[3] <= weights[4] and weights[5] >= 0
     texts = [(i, f"word{i} grumblefrump you {i}" if i % 3 == 0 else f"word{i} lovely {i}") for i in range(240)]
     labels = spark.createDataFrame([(i, int(i % 3 == 0), 1) for i, _ in texts], "doc_id bigint, toxic int, quality int")
     found = held_out_toxicity(spark.createDataFrame([*texts, (900, None), (901, "")], "doc_id bigint, text string"), labels).collect()
