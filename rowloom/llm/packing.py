@@ -34,7 +34,7 @@ from rowloom.llm.common import small, stored
 from rowloom.llm.tokens import word_tokens
 
 #: Groups of neighbouring lengths in the program; most prices asked for, steps between two, their size; the gap to end at.
-GROUPS, PRICES, STEPS, RATE, GAP = 200, 150, 400, 0.1, 0.02
+GROUPS, PRICES, STEPS, RATE, GAP = 200, 400, 400, 0.1, 0.02
 #: A sequence with more room than this share is left to best fit.
 WASTE = 1 / 512
 #: Prices are mostly those of the best proven bound, so that new patterns suit the ones there are.
