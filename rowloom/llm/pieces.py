@@ -37,6 +37,9 @@ STRETCH = re.compile(rb" *[^ \n]+|\n| +")
 CHUNK = 1 << 20
 COMMIT_EVERY = 256
 AGREED = 1_000_000
+#: In the lattice, the id of a character without a piece; models that give it to a piece are refused.
+NO_PIECE = 0
+ONE = (1,)
 
 
 class PieceModel:
@@ -55,89 +58,108 @@ class PieceModel:
                 self.ids[piece], self.rank[piece] = i, sp.get_score(i)
                 self.raw[i] = piece.replace(MARK, " ").encode()
         self.longest = max(map(len, self.ids))
-        sizes: dict[str, set[int]] = {}
+        two: dict[str, set[int]] = {}
+        three: dict[str, set[int]] = {}
         for piece in self.ids:
             if len(piece) > 1:
-                sizes.setdefault(piece[-2:], {1}).add(len(piece))
-        #: Lengths of the pieces that end in two characters, the longest first.
-        self.sizes = {k: sorted(v, reverse=True) for k, v in sizes.items()}
-        self.agreed: dict[tuple[str, str], bool] = {}
+                two.setdefault(piece[-2:], {1}).add(len(piece))
+            if len(piece) > 2:
+                three.setdefault(piece[-3:], {1}).add(len(piece))
+        for end, lengths in three.items():
+            lengths |= {2} & two[end[-2:]]
+        #: Lengths of the pieces that end in three characters, and of those up to two that end in two, the longest first.
+        self.three = {k: sorted(v, reverse=True) for k, v in three.items()}
+        self.two = {k: sorted(v & {1, 2}, reverse=True) for k, v in two.items()}
+        #: Length and text of the piece of an id; the length of ``NO_PIECE`` is one.
+        self.length, self.piece = [1] * size, [""] * size
+        for piece, i in self.ids.items():
+            self.length[i], self.piece[i] = len(piece), piece
+        self.agreed: dict[int, bool] = {}
         self.cache = IdCache(lambda some: [self.stretch(s.decode().replace(" ", MARK)) for s in some])
-        odd = [p for p in self.ids if "\n" in p or re.search(f"[^{MARK}]{MARK}", p)]
+        odd = [p for p, i in self.ids.items() if i == NO_PIECE or "\n" in p or re.search(f"[^{MARK}]{MARK}", p)]
         if odd or len(self.bytes) < 256 or sp.encode("a  b½ﬁ") != self.encode("a  b½ﬁ".encode()).tolist():
             raise ValueError("the model's pieces cross spaces or lines, or it has no byte fallback, or it normalises")
 
-    def agree(self, a: str, b: str) -> bool:
-        """Whether ``a + b``, merged on its own (best score first, leftmost of equals), gives just ``a`` and ``b``.
+    def agree(self, first: int, second: int) -> bool:
+        """Whether two pieces' text, merged on its own (best score first, leftmost of equals), gives just these two.
 
-        A character without a piece becomes bytes and never merges. A merge over the border settles it early.
+        A merge over the border settles it early.
         """
         if len(self.agreed) > AGREED:
             self.agreed.clear()
-        rank, parts, border = self.rank, list(a + b), len(a)
-        known = a not in self.ids
-        if not known:
-            scores = [rank.get(x + y, -np.inf) for x, y in zip(parts, parts[1:])]
-            while (best := max(scores, default=-np.inf)) > -np.inf:
-                k = scores.index(best)
-                if k == border - 1:
-                    break
-                parts[k : k + 2] = [parts[k] + parts[k + 1]]
-                del scores[k]
-                border -= k < border
-                if k:
-                    scores[k - 1] = rank.get(parts[k - 1] + parts[k], -np.inf)
-                if k < len(scores):
-                    scores[k] = rank.get(parts[k] + parts[k + 1], -np.inf)
-            else:
-                known = parts == [a, b]
-        self.agreed[a, b] = known
+        a, b = self.piece[first], self.piece[second]
+        rank, parts, border, known = self.rank, list(a + b), len(a), False
+        scores = [rank.get(x + y, -np.inf) for x, y in zip(parts, parts[1:])]
+        while (best := max(scores, default=-np.inf)) > -np.inf:
+            k = scores.index(best)
+            if k == border - 1:
+                break
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del scores[k]
+            border -= k < border
+            if k:
+                scores[k - 1] = rank.get(parts[k - 1] + parts[k], -np.inf)
+            if k < len(scores):
+                scores[k] = rank.get(parts[k] + parts[k + 1], -np.inf)
+        else:
+            known = parts == [a, b]
+        self.agreed[first << 32 | second] = known
         return known
 
     def stretch(self, text: str) -> list[int]:
         """The ids of a text whose spaces are marks, by the streaming lattice.
 
-        ``last`` holds the last piece for the places from ``done`` on; what is before is committed.
-        A place's back pointer is the start of its last piece.
+        ``last`` holds the id of the last piece for the places from ``done`` on; what is before is committed.
+        A place's back pointer is the start of its last piece. A character without a piece becomes bytes and
+        never merges, so it agrees with all.
         """
-        ids, agreed, sizes, window = self.ids, self.agreed, self.sizes, COMMIT_EVERY + self.longest
-        last, done, end, out, n = [""], 0, 0, [], len(text)
+        find, agreed, window = self.ids.get, self.agreed, COMMIT_EVERY + self.longest
+        two, three, last, done, end, out, n = self.two, self.three, [NO_PIECE], 0, 0, [], len(text)
         while end < n:
             for end in range(end + 1, min(n, max(end + 1, done + window)) + 1):
-                for size in sizes.get(text[end - 2 : end], (1,)) if end > 1 else (1,):
+                sizes = three.get(text[end - 3 : end]) if end > 2 else None
+                if sizes is None:
+                    sizes = two.get(text[end - 2 : end], ONE) if end > 1 else ONE
+                for size in sizes:
                     start = end - size
                     if start < done:
                         continue
-                    piece = text[start:end]
-                    if piece in ids:
-                        pair = last[start - done], piece
-                        fits = agreed.get(pair)
-                        if not (self.agree(*pair) if fits is None else fits):
-                            continue
-                    elif size > 1:
+                    piece = find(text[start:end])
+                    if piece is not None:
+                        before = last[start - done]
+                        if before != NO_PIECE:
+                            fits = agreed.get(before << 32 | piece)
+                            if not (self.agree(before, piece) if fits is None else fits):
+                                continue
+                    elif size == 1:
+                        piece = NO_PIECE
+                    else:
                         continue
                     last.append(piece)
                     break
-            done = self._commit(done, end, n, last, out)
+            done = self._commit(done, end, text, last, out)
         return out
 
-    def _commit(self, done: int, end: int, n: int, last: list[str], out: list[int]) -> int:
+    def _commit(self, done: int, end: int, text: str, last: list[int], out: list[int]) -> int:
         """Appends the ids up to the boundary in which all surviving paths meet; returns the boundary."""
-        at = end
-        if end < n:
+        at, length = end, self.length
+        if end < len(text):
             alive = set(range(max(done, end - self.longest + 1), end + 1))
             while len(alive) > 1:
                 furthest = max(alive)
                 alive.remove(furthest)
-                alive.add(furthest - len(last[furthest - done]))
+                alive.add(furthest - length[last[furthest - done]])
             at = alive.pop()
         path, k = [], at
         while k > done:
-            path.append(last[k - done])
-            k -= len(path[-1])
-        for piece in reversed(path):
-            i = self.ids.get(piece)
-            out.extend([i] if i is not None else [self.bytes[x] for x in piece.encode()])
+            piece = last[k - done]
+            if piece == NO_PIECE:
+                path.extend(self.bytes[x] for x in reversed(text[k - 1].encode()))
+            else:
+                path.append(piece)
+            k -= length[piece]
+        path.reverse()
+        out += path
         del last[: at - done]
         return at
 
