@@ -7,8 +7,10 @@ with a penalty for each change of language, labels the spans of mixed texts; the
 language with most bytes in its spans is the text's, its share the score.
 
 Trigram counts and scripts come from a sample of about ``SAMPLE`` documents a
-language at most. Texts are read whole; paths start anew every ``BLOCK`` words,
-which bounds memory.
+language at most. Texts are read whole. Texts of over ``BLOCK`` words are worked
+out in blocks at the same time, once for each language that the word before a
+block may have, and the blocks are chained: the best path is that of one run
+over the whole text.
 
 * a null text or one without a letter is ``und`` with score 0;
 * a script that no language uses leaves all languages open;
@@ -106,11 +108,23 @@ def learn_languages(rows: DataFrame, key: str = "doc_id", text: str = "text", la
     return LanguageModel(names, table.astype(np.float32), uses)
 
 
-def viterbi(scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
-    """The best language of every word; rows of words begin at ``starts`` and go on for ``sizes``."""
+def viterbi(
+    scores: np.ndarray,
+    starts: np.ndarray,
+    sizes: np.ndarray,
+    penalty: float,
+    entry: np.ndarray | None = None,
+    ends: np.ndarray | None = None,
+    values: bool = False,
+) -> np.ndarray:
+    """The best language of every word; rows of words begin at ``starts`` and go on for ``sizes``.
+
+    ``entry``: what each row's languages are worth before its first word; ``ends``: the languages that the rows
+    end in. With ``values``, what the best paths to each last language are worth instead of the labels.
+    """
     order = np.argsort(-sizes, kind="stable")
     starts, sizes = starts[order], sizes[order]
-    state = np.zeros((len(order), scores.shape[1]), np.float32)
+    state = np.zeros((len(order), scores.shape[1]), np.float32) if entry is None else entry[order].astype(np.float32)
     label = np.zeros(len(scores), np.uint8 if scores.shape[1] < 256 else np.int32)
     back, steps = [], int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(steps), side="left")
@@ -119,9 +133,14 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, penalty:
         best = now.argmax(axis=1)
         other = now[np.arange(len(now)), best][:, None] - penalty
         switch = other > now
-        back.append((switch, best))
+        if not values:
+            back.append((switch, best))
         state[: active[t]] = np.where(switch, other, now) + scores[starts[: active[t]] + t]
-    last = state.argmax(axis=1)
+    if values:
+        out = np.empty_like(state)
+        out[order] = state
+        return out
+    last = state.argmax(axis=1) if ends is None else ends[order]
     for t in reversed(range(steps)):
         k = active[t]
         at = last[:k]
@@ -131,6 +150,26 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray, penalty:
     return label
 
 
+def viterbi_in_blocks(scores: np.ndarray, penalty: float, block: int) -> np.ndarray:
+    """The best languages of one text's words, worked out for blocks of words that are then chained."""
+    n, langs = scores.shape
+    starts = np.arange(0, n, block)
+    sizes = np.minimum(block, n - starts)
+    only = np.where(np.eye(langs, dtype=bool), 0, -1e30).astype(np.float32)
+    each = np.repeat(starts, langs), np.repeat(sizes, langs)
+    worth = viterbi(scores, *each, penalty, np.tile(only, (len(starts), 1)), values=True).reshape(-1, langs, langs)
+    total, before = np.zeros(langs), []
+    for step in worth.astype(np.float64):
+        through = total[:, None] + step
+        before.append(through.argmax(axis=0))
+        total = through.max(axis=0)
+    ends = np.empty(len(starts) + 1, np.int64)
+    ends[-1] = total.argmax()
+    for k in reversed(range(len(starts))):
+        ends[k] = before[k][ends[k + 1]]
+    return viterbi(scores, starts, sizes, penalty, only[ends[:-1]], ends[1:])
+
+
 def label_words(words: list[bytes], rows: np.ndarray, model: LanguageModel, penalty: float = SWITCH) -> np.ndarray:
     """Languages of words; ``rows``: the number of words in each text."""
     cells, starts, script = _cells(words)
@@ -144,11 +183,11 @@ def label_words(words: list[bytes], rows: np.ndarray, model: LanguageModel, pena
     scores[script == 0] = 0
     scores[~(allowed | open_to_all[:, None])] -= 20.0
     first = np.cumsum(rows) - rows
-    blocks = (rows + BLOCK - 1) // BLOCK
-    which = np.repeat(np.arange(len(rows)), blocks)
-    nth = np.arange(len(which)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-    begin = first[which] + nth * BLOCK
-    return viterbi(scores, begin, np.minimum(BLOCK, rows[which] - nth * BLOCK), penalty)
+    short = rows <= BLOCK
+    labels = viterbi(scores, first[short], rows[short], penalty)
+    for at, n in zip(first[~short], rows[~short]):
+        labels[at : at + n] = viterbi_in_blocks(scores[at : at + n], penalty, BLOCK)
+    return labels
 
 
 def _labelled(texts: list[str], model: LanguageModel) -> tuple[list[str], list[float]]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from rowloom.llm import queries as Q
 from rowloom.llm.components import connected_components
-from rowloom.llm.languages import held_out_languages, viterbi
+from rowloom.llm.languages import held_out_languages, viterbi, viterbi_in_blocks
 from rowloom.llm.packing import GAP, best_fit, best_pattern, configuration_program, packed, packing_plan, program_plan
 from rowloom.llm.pieces import PieceModel, encoded, piece_digests
 from rowloom.llm.quality import BASE, quality_rules
@@ -287,6 +287,18 @@ def test_languages(docs, none, spark):
         assert labels[at : at + n].tolist() == list(best)
 
 
+def test_languages_of_long_texts_are_those_of_one_run():
+    rng = np.random.default_rng(1)
+    for n, langs, block in ((1, 2, 4), (9, 3, 4), (400, 4, 16), (401, 5, 16), (640, 2, 1), (100_000, 4, 4096)):
+        # A language for some time, then another, so that paths have reason to keep a weak language over borders.
+        true = np.repeat(rng.integers(0, langs, n // 7 + 1), 7)[:n]
+        scores = (rng.normal(size=(n, langs)) * 2 + 1.2 * (np.arange(langs) == true[:, None])).astype(np.float32)
+        whole = viterbi(scores, np.array([0]), np.array([n]), 4.0)
+        parts = viterbi_in_blocks(scores, 4.0, block)
+        value = lambda x: scores.astype(float)[np.arange(n), x].sum() - 4.0 * (np.diff(x.astype(int)) != 0).sum()
+        assert value(parts) == pytest.approx(value(whole), rel=1e-4) and (parts == whole).mean() > 0.99
+
+
 def test_toxicity(docs, none, spark):
     machine, words = _machine(), fixed_words()
     count = lambda text: clause_matches(text, words, machine)
