@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 from pathlib import PurePosixPath
 
@@ -95,9 +96,72 @@ def write_train_test(
     split: str = "split",
     mode: str = "errorifexists",
 ) -> tuple[str, str]:
-    """Train and test rows under two paths, without the split column."""
+    """Train and test rows under two paths, without the split column.
+
+    One job reads the table once and writes both parts to a folder beside the train path; when all is written, the
+    parts are moved to their paths. If anything fails, what stood there before is back and nothing else is left.
+    A part without rows is a table without rows. ``append`` and ``ignore``, and paths in two stores, take a pass a part.
+    """
     need_columns(df, [split], "split column")
     train, test, kind = split_paths(input_path, train_path, test_path, fmt, input_format)
-    for part, path in (("train", train), ("test", test)):
-        write_table(df.where(quoted(split) == F.lit(part)).drop(split), path, kind, mode)
+    paths = {"train": train, "test": test}
+    store = _Store(df, train)
+    if mode in ("append", "ignore") or not store.has(test):
+        for part, path in paths.items():
+            write_table(df.where(quoted(split) == F.lit(part)).drop(split), path, kind, mode)
+        return train, test
+    if mode != "overwrite":
+        for path in paths.values():
+            if store.exists(path):
+                raise FileExistsError(f"{path} exists already")
+    staged = f"{part_path(train, uuid.uuid4().hex, '')}.parts"
+    moved = []
+    try:
+        mark = "part" + "_" * max((len(c) for c in df.columns if c.startswith("part")), default=0)
+        rows = df.where(quoted(split).isin(*paths)).withColumn(mark, quoted(split)).drop(split)
+        write_table(rows, staged, kind, partition_by=[mark])
+        for part, path in paths.items():
+            if not store.exists(f"{staged}/{mark}={part}"):
+                write_table(rows.drop(mark).limit(0), f"{staged}/{mark}={part}", kind)
+            else:
+                store.touch(f"{staged}/{mark}={part}/_SUCCESS")
+        for part, path in paths.items():
+            if store.exists(path):
+                store.move(path, f"{staged}/old-{part}")
+                moved.append((path, f"{staged}/old-{part}"))
+            store.move(f"{staged}/{mark}={part}", path)
+            moved.append((f"{staged}/{mark}={part}", path))
+    except BaseException:
+        # Should this fail too, the older parts are still in the folder, which is then kept.
+        for before, now in reversed(moved):
+            store.move(now, before)
+        store.drop(staged)
+        raise
+    store.drop(staged)
     return train, test
+
+
+class _Store:
+    """The file system of a path, as Spark sees it."""
+
+    def __init__(self, df: DataFrame, path: str):
+        self.path = df.sparkSession._jvm.org.apache.hadoop.fs.Path
+        self.conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        self.files = self.path(path).getFileSystem(self.conf)
+
+    def has(self, path: str) -> bool:
+        return self.path(path).getFileSystem(self.conf).getUri() == self.files.getUri()
+
+    def exists(self, path: str) -> bool:
+        return self.files.exists(self.path(path))
+
+    def touch(self, path: str) -> None:
+        self.files.create(self.path(path), True).close()
+
+    def move(self, path: str, to: str) -> None:
+        self.files.mkdirs(self.path(to).getParent())
+        if not self.files.rename(self.path(path), self.path(to)):
+            raise OSError(f"{path} could not be moved to {to}")
+
+    def drop(self, path: str) -> None:
+        self.files.delete(self.path(path), True)

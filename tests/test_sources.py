@@ -257,6 +257,49 @@ def test_split_sinks(spark, tmp_path):
     assert values(load_table(spark, test)) == [(2,)]
 
 
+def test_split_is_written_in_one_pass_or_not_at_all(spark, tmp_path, monkeypatch):
+    spark.range(20).selectExpr("id", "if(id % 4 = 0, 'test', if(id = 7, null, 'train')) split", "id part").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    train, test = write_train_test(df.mapInArrow(counted, df.schema), str(tmp_path / "a" / "in.parquet"), input_format="parquet")
+    assert seen.value == 20
+    assert sorted(values(spark.read.parquet(test))) == [(i, i) for i in range(0, 20, 4)]
+    assert spark.read.parquet(train).count() == 14 and spark.read.parquet(train).columns == ["id", "part"]
+    assert sorted(p.name for p in (tmp_path / "a").iterdir()) == ["in-test.parquet", "in-train.parquet"]
+    with pytest.raises(FileExistsError):
+        write_train_test(df, str(tmp_path / "a" / "in.parquet"), input_format="parquet")
+    few = df.where("split = 'train' and id < 3")
+    write_train_test(few, str(tmp_path / "a" / "in.parquet"), input_format="parquet", mode="overwrite")
+    assert spark.read.parquet(test).count() == 0 and spark.read.parquet(train).count() == 2
+    bad = df.selectExpr("assert_true(id < 19) x", "split", "id")
+    with pytest.raises(Exception, match="(?i)true"):
+        write_train_test(bad, str(tmp_path / "a" / "in.parquet"), input_format="parquet", mode="overwrite")
+    with pytest.raises(Exception, match="(?i)true"):
+        write_train_test(bad, str(tmp_path / "b" / "in.parquet"), input_format="parquet")
+    from rowloom.sources import writers
+
+    move = writers._Store.move
+
+    def broken(self, path, to):
+        if to == test and path.endswith("=test"):
+            raise OSError("store is gone")
+        move(self, path, to)
+
+    monkeypatch.setattr(writers._Store, "move", broken)
+    with pytest.raises(OSError):
+        write_train_test(df, str(tmp_path / "a" / "in.parquet"), input_format="parquet", mode="overwrite")
+    monkeypatch.undo()
+    assert spark.read.parquet(test).count() == 0 and spark.read.parquet(train).count() == 2
+    assert sorted(p.name for p in (tmp_path / "a").iterdir()) == ["in-test.parquet", "in-train.parquet"]
+    assert not [p for p in (tmp_path / "b").rglob("*") if p.is_file()]
+
+
 def test_cast_to_text_skips_absent_columns(spark):
     df = columns_as_text(spark.sql("select 1.0D a, true b, cast(null as int) c, 5 d"), ["a", "b", "c", "zz"])
     assert values(df) == [("1.0", "True", None, 5)]
