@@ -8,7 +8,7 @@ language with most bytes in its spans is the text's, its share the score.
 
 Trigram counts and scripts come from a sample of about ``SAMPLE`` documents a
 language at most. Texts are read whole. Texts of over ``BLOCK`` words are worked
-out in blocks at the same time, once for each language that the word before a
+out in blocks of ``PART`` at the same time, once for each language that the word before a
 block may have, and the blocks are chained: the best path is that of one run
 over the whole text.
 
@@ -35,6 +35,8 @@ from rowloom.llm.sampling import bounded_sample, held_out
 SAMPLE = 4000
 CELLS = 1 << 16
 BLOCK = 4096
+#: Words in a block of a longer text.
+PART = 64
 CHUNK = 4 << 20
 SWITCH = 8.0
 LETTER = re.compile(r"[^\W\d_]")
@@ -186,7 +188,7 @@ def label_words(words: list[bytes], rows: np.ndarray, model: LanguageModel, pena
     short = rows <= BLOCK
     labels = viterbi(scores, first[short], rows[short], penalty)
     for at, n in zip(first[~short], rows[~short]):
-        labels[at : at + n] = viterbi_in_blocks(scores[at : at + n], penalty, BLOCK)
+        labels[at : at + n] = viterbi_in_blocks(scores[at : at + n], penalty, PART)
     return labels
 
 
