@@ -155,7 +155,7 @@ def rows_at_positions(spark, folder):
     """Five hundred positions of a table, and of the same table as lines of text."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     path = scratch(spark, "orders.csv")
-    write_table(orders.orderBy("o_orderkey").coalesce(1), path)
+    write_table(orders.orderBy("o_orderkey"), path)
     kinds = "o_orderkey bigint, o_custkey bigint"
     lines = spark.read.schema(kinds).option("header", True).csv(path)
     asked = list(range(0, 1500, 3))

@@ -122,3 +122,41 @@ def test_a_thousand_positions_by_an_index(spark, tmp_path, kind):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_rows_carry_no_lists_of_positions(spark, tmp_path, monkeypatch):
+    """With many positions a row that is looked at stays as wide as with one."""
+    plans, kept = [], positions.checkpointed
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        return kept(df)
+
+    write_table(spark.range(3000).repartition(2), str(tmp_path / "t.csv"))
+    df = spark.read.schema("id bigint").option("header", True).csv(str(tmp_path / "t.csv"))
+    index = positions.position_index(df)
+    monkeypatch.setattr(positions, "checkpointed", seen)
+    got = positions.rows_at(df, list(range(0, 3000, 2)), index).collect()
+    assert sorted(r.position for r in got) == list(range(0, 3000, 2)) and len({r.id for r in got}) == 1500
+    assert len(plans) == 1 and "MapInArrow" in plans[0] and "collect_list" not in plans[0]
+
+
+def test_lines_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from rowloom import catalog
+
+    rows = spark.range(20_000).select(F.col("id").alias("o_orderkey"), (F.col("id") * 7).alias("o_custkey"))
+    rows.write.parquet(str(tmp_path / "orders.parquet"))
+    parts, write = [], catalog.write_table
+
+    def seen(df, path):
+        parts.append(df.rdd.getNumPartitions())
+        write(df, path)
+
+    monkeypatch.setattr(catalog, "write_table", seen)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = catalog.rows_at_positions(spark, str(tmp_path)).where("kind = 'lines'").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sorted((r.position, r.o_orderkey, r.o_custkey) for r in got) == [(i, i, 7 * i) for i in range(0, 1500, 3)]
+    assert parts[0] > 1
