@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,7 +75,7 @@ class PieceModel:
         for piece, i in self.ids.items():
             self.length[i], self.piece[i] = len(piece), piece
         self.agreed: dict[int, bool] = {}
-        self.cache = IdCache(lambda some: [self.stretch(s.decode().replace(" ", MARK)) for s in some])
+        self.cache = IdCache(self._learn)
         odd = [p for p, i in self.ids.items() if i == NO_PIECE or "\n" in p or re.search(f"[^{MARK}]{MARK}", p)]
         if odd or len(self.bytes) < 256 or sp.encode("a  b½ﬁ") != self.encode("a  b½ﬁ".encode()).tolist():
             raise ValueError("the model's pieces cross spaces or lines, or it has no byte fallback, or it normalises")
@@ -106,40 +106,72 @@ class PieceModel:
         self.agreed[first << 32 | second] = known
         return known
 
+    def _learn(self, stretches: list[bytes]) -> list[list[int]]:
+        """The ids of different stretches, in their order.
+
+        A place's last piece depends on the text up to there alone, so of
+        stretches in sorted order each goes on from the lattice of the front that it
+        shares with the one before.
+        """
+        texts = [s.decode().replace(" ", MARK) for s in stretches]
+        found: list[list[int]] = [[]] * len(texts)
+        held, last = "", [NO_PIECE]
+        for i in sorted(range(len(texts)), key=texts.__getitem__):
+            text = texts[i]
+            if len(text) > COMMIT_EVERY:
+                found[i] = self.stretch(text)
+                continue
+            front = 0
+            for x, y in zip(held, text):
+                if x != y:
+                    break
+                front += 1
+            del last[front + 1 :]
+            self._extend(text, front, len(text), 0, last)
+            found[i], held = self._path(0, len(text), text, last), text
+        return found
+
     def stretch(self, text: str) -> list[int]:
         """The ids of a text whose spaces are marks, by the streaming lattice.
 
         ``last`` holds the id of the last piece for the places from ``done`` on; what is before is committed.
-        A place's back pointer is the start of its last piece. A character without a piece becomes bytes and
-        never merges, so it agrees with all.
         """
-        find, agreed, window = self.ids.get, self.agreed, COMMIT_EVERY + self.longest
-        two, three, last, done, end, out, n = self.two, self.three, [NO_PIECE], 0, 0, [], len(text)
+        window, last, done, end, out, n = COMMIT_EVERY + self.longest, [NO_PIECE], 0, 0, [], len(text)
         while end < n:
-            for end in range(end + 1, min(n, max(end + 1, done + window)) + 1):
-                sizes = three.get(text[end - 3 : end]) if end > 2 else None
-                if sizes is None:
-                    sizes = two.get(text[end - 2 : end], ONE) if end > 1 else ONE
-                for size in sizes:
-                    start = end - size
-                    if start < done:
-                        continue
-                    piece = find(text[start:end])
-                    if piece is not None:
-                        before = last[start - done]
-                        if before != NO_PIECE:
-                            fits = agreed.get(before << 32 | piece)
-                            if not (self.agree(before, piece) if fits is None else fits):
-                                continue
-                    elif size == 1:
-                        piece = NO_PIECE
-                    else:
-                        continue
-                    last.append(piece)
-                    break
-            done = self._commit(done, end, text, last, out)
+            upto = min(n, max(end + 1, done + window))
+            self._extend(text, end, upto, done, last)
+            end, done = upto, self._commit(done, upto, text, last, out)
         return out
 
+    def _extend(self, text: str, end: int, upto: int, done: int, last: list[int]) -> None:
+        """Adds the last pieces of the places after ``end``, up to ``upto``.
+
+        A place's back pointer is the start of its last piece. A character without a piece becomes bytes and
+        never merges, so it agrees with all.
+        """
+        find, agreed, two, three = self.ids.get, self.agreed, self.two, self.three
+        for end in range(end + 1, upto + 1):
+            sizes = three.get(text[end - 3 : end]) if end > 2 else None
+            if sizes is None:
+                sizes = two.get(text[end - 2 : end], ONE) if end > 1 else ONE
+            for size in sizes:
+                start = end - size
+                if start < done:
+                    continue
+                piece = find(text[start:end])
+                if piece is not None:
+                    before = last[start - done]
+                    if before != NO_PIECE:
+                        fits = agreed.get(before << 32 | piece)
+                        if not (self.agree(before, piece) if fits is None else fits):
+                            continue
+                elif size == 1:
+                    piece = NO_PIECE
+                else:
+                    continue
+                last.append(piece)
+                break
+
     def _commit(self, done: int, end: int, text: str, last: list[int], out: list[int]) -> int:
         """Appends the ids up to the boundary in which all surviving paths meet; returns the boundary."""
         at, length = end, self.length
@@ -150,7 +182,13 @@ class PieceModel:
                 alive.remove(furthest)
                 alive.add(furthest - length[last[furthest - done]])
             at = alive.pop()
-        path, k = [], at
+        out += self._path(done, at, text, last)
+        del last[: at - done]
+        return at
+
+    def _path(self, done: int, at: int, text: str, last: list[int]) -> list[int]:
+        """The ids from ``done`` to ``at``, along the back pointers."""
+        path, k, length = [], at, self.length
         while k > done:
             piece = last[k - done]
             if piece == NO_PIECE:
@@ -159,9 +197,7 @@ class PieceModel:
                 path.append(piece)
             k -= length[piece]
         path.reverse()
-        out += path
-        del last[: at - done]
-        return at
+        return path
 
     def encode(self, body: bytes) -> np.ndarray:
         """The ids of a whole text."""
@@ -178,6 +214,33 @@ class PieceModel:
             at = to
         return np.concatenate(out)
 
+    def texts(self, bodies: Iterable[bytes]) -> Iterator[np.ndarray]:
+        """The ids of every text, in order; stretches of short texts are looked up together."""
+        some: list[bytes] = []
+        part: list[int] = []
+        held = 0
+
+        def flush():
+            ids, ends = self.cache.ids(some)
+            done = np.split(ids, np.concatenate([[0], ends])[np.cumsum(part)][:-1]) if part else []
+            some.clear(), part.clear()
+            return done
+
+        for body in bodies:
+            if len(body) > CHUNK:
+                yield from flush()
+                held = 0
+                yield self.encode(body)
+                continue
+            found = STRETCH.findall(b" " + body.replace(MARK.encode(), b" ")) if body else []
+            some += found
+            part.append(len(found))
+            held += len(body)
+            if held > CHUNK:
+                yield from flush()
+                held = 0
+        yield from flush()
+
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.raw.__getitem__, ids.tolist()))[1:] if len(ids) else b""
 
@@ -194,10 +257,8 @@ def piece_model(path: str) -> PieceModel:
 def _digests(batches: Iterator[pa.RecordBatch], path: str, keys: int) -> Iterator[pa.RecordBatch]:
     model = piece_model(path)
     for batch in batches:
-        rows = []
-        for x in batch.column(keys).cast(pa.binary()):
-            body = x.as_py() or b""
-            ids = model.encode(body)
+        rows, bodies = [], [x.as_py() or b"" for x in batch.column(keys).cast(pa.binary())]
+        for body, ids in zip(bodies, model.texts(bodies)):
             back = model.decode(ids)
             rows.append((len(ids), zlib.crc32(ids.tobytes()), back == body, hashlib.sha256(back).hexdigest()))
         kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.string()]
@@ -223,7 +284,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
         model = piece_model(path)
         for batch in batches:
             at = batch.schema.names.index("__t")
-            ids = [model.encode(x.as_py() or b"").tolist() for x in batch.column(at).cast(pa.binary())]
+            ids = [x.tolist() for x in model.texts(x.as_py() or b"" for x in batch.column(at).cast(pa.binary()))]
             columns = [c for i, c in enumerate(batch.columns) if i != at] + [pa.array(ids, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=[*(f"k{i}" for i in range(len(names))), "ids"])
 

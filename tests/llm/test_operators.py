@@ -416,3 +416,22 @@ def test_pipeline(docs, none, spark):
     last = corpus_pipeline.STAGES[-1][1](spark, now, "").collect()
     ids = {r["doc_id"] for r in last}
     assert ids == {r["doc_id"] for r in now.collect()} and 0 in ids and 60 not in ids and 63 not in ids
+
+
+def test_new_stretches_share_the_lattice_of_their_front(monkeypatch):
+    model, front, places = PieceModel(Q.PIECES_32K), "unverifiabilitiesundone", []
+    extend = PieceModel._extend
+
+    def seen(self, text, end, upto, done, last):
+        places.append(upto - end)
+        return extend(self, text, end, upto, done, last)
+
+    monkeypatch.setattr(PieceModel, "_extend", seen)
+    words = [front + a + b for a in "stuvwxyzabc" for b in "étaoin"]
+    texts = [" ".join(words).encode(), b"", ("ab " + "x" * 700 + " \n  é▁\U0001F600 ").encode(), b"  ", words[5].encode(), b"a b " * 400_000]
+    got = list(model.texts(texts))
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=Q.PIECES_32K)
+    assert [x.tolist() for x in got] == [library.encode(t.decode()) for t in texts]
+    assert sum(n for n in places if n < 100) < 0.3 * sum(map(len, words))
