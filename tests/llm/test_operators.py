@@ -435,3 +435,19 @@ def test_new_stretches_share_the_lattice_of_their_front(monkeypatch):
     library = sentencepiece.SentencePieceProcessor(model_file=Q.PIECES_32K)
     assert [x.tolist() for x in got] == [library.encode(t.decode()) for t in texts]
     assert sum(n for n in places if n < 100) < 0.3 * sum(map(len, words))
+
+
+@pytest.mark.parametrize("lines", [True, False])
+def test_new_words_go_to_the_tokenizer_in_lines(monkeypatch, lines):
+    from rowloom.llm.tokens import WordTokens
+
+    words = WordTokens(Q.WORDS_49K)
+    assert words.lines
+    alone, single = [], WordTokens._single
+    monkeypatch.setattr(WordTokens, "_single", lambda self, some: alone.extend(some) or single(self, some))
+    words.lines = lines
+    made = [f"W{chr(97 + i // 26)}{chr(97 + i % 26)}é" for i in range(600)]
+    texts = [" ".join(f"{w}, {w.lower()}. {w} don't" for w in made), "", "10 İx ½ <|endoftext|> a.. ., Ǆ ΑΣ Σ é 한국 ㎏", "́a   ab.c\n x y"]
+    got = [ids.tolist() for _, ids in words.texts([t.encode() for t in texts])]
+    assert got == [[*x.ids, 0] for x in words.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert (len(alone) < 20) is lines
