@@ -381,6 +381,29 @@ def test_repeats(docs, none, rows, monkeypatch, limit, least_hot):
     assert without_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize("size", [330, 399, 400, 520])
+def test_repeated_passages_go_by_their_bytes(spark, size):
+    from rowloom.llm.repeats import BLOCK
+
+    rng = np.random.default_rng(size)
+
+    def prose(n):
+        letters = rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n)
+        letters[5::6] = " "
+        return "".join(letters)
+
+    passage, gone = prose(size), size if size >= 400 else 0
+    assert len(passage.split()) > 50
+    # The last starts at the last byte of a block of ``anchors``. Digits beside the copies end what is common.
+    texts = [prose(n) + f"{i}{passage}{i}" + prose(300) for i, n in enumerate([200, 0, 700, BLOCK - 2])] + [prose(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in without_repeats(docs).collect()}
+    for i, text in enumerate(texts):
+        left = text.replace(passage, "") if gone else text
+        assert found[i] == (len(text), len(text) - len(left), int(left != text), hashlib.sha256(left.encode()).hexdigest())
+    assert [found[i][1] for i in range(5)] == [gone] * 4 + [0]
+
+
 def _base(text):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
